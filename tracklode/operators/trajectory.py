@@ -44,7 +44,8 @@ def thresholds(moved: DataFrame, value: str, delta: str = "delta") -> DataFrame:
 
 
 def complexity(mean: Column, p95: Column, mean_ref: Column, p95_ref: Column, bimanual: Column, transitions: Column, segments: Column) -> Column:
-    size = F.coalesce(F.least(mean / F.greatest(mean_ref, F.lit(1e-9)), F.lit(3.0)) + F.least(p95 / F.greatest(p95_ref, F.lit(1e-9)), F.lit(3.0)), F.lit(0.0))
+    pull = F.least(mean / F.greatest(mean_ref, F.lit(1e-9)), F.lit(3.0)) + F.least(p95 / F.greatest(p95_ref, F.lit(1e-9)), F.lit(3.0))
+    size = F.when(mean.isNotNull(), pull).otherwise(0.0)  # an episode of one step has no deltas
     return F.least(size + bimanual * 1.5 + F.least(transitions / 6.0, F.lit(1.5)) + F.least(segments / 8.0, F.lit(1.0)), F.lit(10.0))
 
 

@@ -65,7 +65,7 @@ s AS (SELECT user_id, count(*) AS t, avg(delta) AS delta_mean, quantile_cont(del
   count(*) FILTER (WHERE edge) AS segments, count(*) FILTER (WHERE switch) AS transitions, any_value(mean_ref) AS mean_ref, any_value(p95_ref) AS p95_ref FROM g GROUP BY user_id),
 stats AS (SELECT user_id, t, round(delta_mean, 6) AS delta_mean, round(delta_p95, 6) AS delta_p95, round(delta_max, 6) AS delta_max, round(delta_std, 6) AS delta_std, round(motion, 6) AS motion, round(pause_ratio, 6) AS pause_ratio,
   round(spike_ratio, 6) AS spike_ratio, round(active_ratio, 6) AS active_ratio, segments, transitions,
-  round(least(coalesce(least(delta_mean / greatest(mean_ref, 1e-9), 3.0) + least(delta_p95 / greatest(p95_ref, 1e-9), 3.0), 0) + least(transitions / 6.0, 1.5) + least(segments / 8.0, 1.0), 10.0), 6) AS complexity FROM s)"""
+  round(least(CASE WHEN delta_mean IS NULL THEN 0 ELSE least(delta_mean / greatest(mean_ref, 1e-9), 3.0) + least(delta_p95 / greatest(p95_ref, 1e-9), 3.0) END + least(transitions / 6.0, 1.5) + least(segments / 8.0, 1.0), 10.0), 6) AS complexity FROM s)"""
 
 
 @query(f"WITH {STATS_SQL} SELECT * FROM stats")
