@@ -70,7 +70,7 @@ def read_json(spark: SparkSession, path: str, default: Any = None) -> Any:
     """A small JSON document (settings, summaries) as Python values."""
     if not exists(spark, path):
         return default
-    return json.loads(spark.read.option("wholetext", True).text(path).first()[0])
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
 def read_yaml(spark: SparkSession, path: str, default: Any = None) -> Any:
@@ -78,7 +78,7 @@ def read_yaml(spark: SparkSession, path: str, default: Any = None) -> Any:
         return default
     import yaml
 
-    return yaml.safe_load(spark.read.option("wholetext", True).text(path).first()[0])
+    return yaml.safe_load(spark.read.text(path, wholetext=True).first()[0])
 
 
 def instruction(c: Column | str) -> Column:
