@@ -83,7 +83,7 @@ def clip(n, change):
 
 
 def test_flicker_tells_foreground_from_exposure():
-    """The two clips of the reference's own test: an object that slides in, and a jump of exposure."""
+    """Two clips: an object that slides in, and a jump of exposure."""
 
     def enter(f, k):
         f[30:90, : max(0, (k - 4) * 8)] = 40

@@ -30,7 +30,7 @@ def truthy_wide(c: Column | str) -> Column:
 
 def number(c: Column | str) -> Column:
     """The value as a double; null if it is no number."""
-    return F.try_cast(col(c), "double") if hasattr(F, "try_cast") else col(c).try_cast("double")
+    return col(c).try_cast("double")
 
 
 def safe_float(c: Column | str, default: float | None = 0.0) -> Column:

@@ -162,3 +162,35 @@ def label_filters(unlabelled: bool = False, **equal: str | None) -> Column:
         if v is not None:
             out = out & (F.coalesce(F.col(c).cast("string"), F.lit("")) == v)
     return out
+
+
+def reference_frame_path(root: str, split: Column | str, episode: Column | str, task: str = "fixed_scene_task") -> Column:
+    return F.format_string("%s/%s/first_frame/%s/episode%d.png", F.lit(root), col(split), F.lit(task), col(episode))
+
+
+def with_text_columns(df: DataFrame, names: list[str]) -> DataFrame:
+    """Adds columns that are missing, as empty texts."""
+    return df.withColumns({n: F.lit("") for n in names if n not in df.columns})
+
+
+def first_overlay(files: DataFrame, folder: str, path: str, names: list[str]) -> DataFrame:
+    """Of each folder's files the one whose name comes first in the list."""
+    name = F.element_at(F.split(F.col(path), "/"), -1)
+    place = F.array_position(F.array(*map(F.lit, names)), name)
+    return files.withColumn("__p", place).where("__p > 0").groupBy(folder).agg(F.min_by(path, "__p").alias("overlay"))
+
+
+def training_source(manifest: DataFrame, scored: DataFrame | None, source: str) -> DataFrame:
+    """The table that exports read: the manifest, or the table with final decisions, which then has to be there."""
+    if source == "manifest":
+        return manifest
+    if scored is None:
+        raise FileNotFoundError("the scored table is missing")
+    return scored
+
+
+def final_table(manifest: DataFrame, scores: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Inner join of the manifest with the last score of each key."""
+    from tracklode.operators.qc import latest
+
+    return manifest.join(latest(scores, keys, order), keys)

@@ -203,3 +203,30 @@ def contract_reasons(values: Column, least_steps: int = 60, width: int = 14) ->
     shape = F.exists(values, lambda r: F.size(r) != width)
     missing = values.isNull()
     return F.when(missing, "action_missing").otherwise(reasons((shape, "action_shape_invalid"), (F.size(values) < least_steps, "too_short"), (bad, "action_not_finite")))
+
+
+def largest_steps(df: DataFrame, keys: list[str], order: list[str], series: list[str]) -> DataFrame:
+    """Largest change between neighbouring rows of each series (luma, colour, foreground share); 0 for a single row."""
+    w = steps(df, keys, order)
+    rows = df.select(*keys, *(F.abs(F.col(c) - F.lag(c).over(w)).alias(c) for c in series))
+    return rows.groupBy(*keys).agg(*(rounded(F.coalesce(F.max(finite(c)), F.lit(0.0))).alias(f"{c}_step") for c in series))
+
+
+def motion_energy(df: DataFrame, keys: list[str], order: list[str], joint: str, arms: tuple[tuple[int, int], ...] = ((1, 6), (8, 6)), grips: tuple[int, ...] = (7, 14), middle: float = 0.5) -> DataFrame:
+    """Mean step of the arms' joints, and how often the grippers cross the middle. ``arms`` are first joint and count, from 1."""
+    w = steps(df, keys, order)
+    arm = F.concat(*(F.slice(joint, a, n) for a, n in arms))
+    rows = deltas(df.select(*keys, *order, joint, arm.alias("arm")), keys, order, "arm")
+    for g in grips:
+        up = F.coalesce(finite(F.get(joint, g - 1)), F.lit(middle)) > middle
+        rows = rows.withColumn(f"__{g}", F.coalesce(up != F.lag(up).over(w), F.lit(False)).cast("int"))
+    crossed = sum((F.sum(f"__{g}") for g in grips), F.lit(0))
+    return rows.groupBy(*keys).agg(rounded(F.coalesce(F.avg("delta"), F.lit(0.0))).alias("motion_energy"), crossed.cast("long").alias("grip_transitions"))
+
+
+def duplicate_ratio(df: DataFrame, keys: list[str], order: list[str], pixels: str, limit: float = 1.0) -> DataFrame:
+    """Share of neighbouring frames whose mean absolute difference is under the limit."""
+    before = F.lag(pixels).over(steps(df, keys, order))
+    gap = F.aggregate(F.transform(minus(pixels, before), lambda x: F.abs(x)), F.lit(0.0), lambda s, x: s + x) / F.size(pixels)
+    rows = df.select(*keys, F.when(before.isNotNull(), (gap < limit).cast("double")).alias("same"))
+    return rows.groupBy(*keys).agg(rounded(F.coalesce(F.avg("same"), F.lit(0.0))).alias("duplicate_ratio"))

@@ -662,6 +662,77 @@ def vector_kernels(spark, sf_dir):
     return e.select("vec_id", rounded(l2("e")).alias("length"), rounded(ratio_consistency(F.abs(F.col("e")[0]), F.abs(F.col("e")[1]))).alias("consistency"))
 
 
+@query("""WITH d AS (SELECT user_id, abs(value - lag(value) OVER w) AS v, abs(event_id - lag(event_id) OVER w) AS e FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT user_id, round(coalesce(max(v), 0), 6) AS value_step, round(coalesce(max(e), 0)::DOUBLE, 6) AS event_id_step FROM d GROUP BY user_id""")
+def largest_steps(spark, sf_dir):
+    return W.largest_steps(table(spark, sf_dir, "events"), USER, ORDER, ["value", "event_id"])
+
+
+@query("""WITH e AS (SELECT label, vec_id, embedding::DOUBLE[] AS e FROM embeddings), a AS (SELECT label, vec_id, list_concat(list_slice(e, 1, 6), list_slice(e, 8, 13)) AS a, e[7] > 0.01 AS g1, e[14] > 0.01 AS g2 FROM e),
+d AS (SELECT label, list_distance(a, lag(a) OVER w) AS delta, coalesce(g1 <> lag(g1) OVER w, false)::INT + coalesce(g2 <> lag(g2) OVER w, false)::INT AS x FROM a WINDOW w AS (PARTITION BY label ORDER BY vec_id))
+SELECT label, round(avg(delta), 6) AS motion_energy, sum(x)::BIGINT AS grip_transitions FROM d GROUP BY label""")
+def motion_energy(spark, sf_dir):
+    return W.motion_energy(table(spark, sf_dir, "embeddings").withColumn("e", F.col("embedding").cast("array<double>")), ["label"], ["vec_id"], "e", middle=0.01)
+
+
+@query("""WITH e AS (SELECT label, vec_id, list_transform(embedding::DOUBLE[], lambda x: x * 10) AS e FROM embeddings), p AS (SELECT label, e, lag(e) OVER (PARTITION BY label ORDER BY vec_id) AS b FROM e)
+SELECT label, round(coalesce(avg((list_sum(list_transform(range(1, len(e) + 1), lambda i: abs(e[i] - b[i]))) / len(e) < 1.4)::INT) FILTER (WHERE b IS NOT NULL), 0), 6) AS duplicate_ratio FROM p GROUP BY label""")
+def duplicate_ratio(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select("label", "vec_id", F.transform("embedding", lambda x: x.cast("double") * 10).alias("e"))
+    return W.duplicate_ratio(e, ["label"], ["vec_id"], "e", limit=1.4)
+
+
+@query("SELECT o_custkey, o_orderkey, o_orderstatus AS last_status FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders) WHERE n = 1 AND o_custkey IN (SELECT c_custkey FROM customer)")
+def final_table(spark, sf_dir):
+    scores = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.col("o_orderstatus").alias("last_status"), "o_orderdate")
+    out = M.final_table(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey")), scores, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    return out.select("o_custkey", "o_orderkey", "last_status")
+
+
+@query("SELECT c.c_custkey, c_name, s_name AS c_name_rule, s_acctbal FROM customer c LEFT JOIN (SELECT s_suppkey AS c_custkey, s_name, s_acctbal FROM supplier) s ON c.c_custkey = s.c_custkey")
+def suffixed_join(spark, sf_dir):
+    right = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name"), "s_acctbal")
+    return Q.left_suffixed(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), right, ["c_custkey"], "_rule")
+
+
+@query("SELECT 'available' AS kind, count(*) AS n FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) UNION ALL SELECT 'missing', count(*) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
+def available_and_missing(spark, sf_dir):
+    have, lack = M.available_and_missing(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey")
+    one = lambda df, kind: df.agg(F.lit(kind).alias("kind"), F.count("*").alias("n"))
+    return one(have, "available").unionAll(one(lack, "missing"))
+
+
+@query(f"WITH {RULE_SQL} SELECT " + ", ".join(f"count(*) FILTER (WHERE contains(qc_labels, '{n}')) AS {n}" for n in Q.NEGATIVE_LABELS) + " FROM rule")
+def review_slices(spark, sf_dir):
+    rows = _rule(spark, sf_dir)
+    return rows.agg(*(F.count_if(c).alias(n) for n, c in Q.review_slices("qc_labels", Q.NEGATIVE_LABELS).items()))
+
+
+@query(f"WITH {JUDGED_SQL} SELECT doc_id, 'false_pass' AS kind FROM judged WHERE predicted = 'PASS' AND human = 'REJECT' UNION ALL SELECT doc_id, 'false_reject' FROM judged WHERE predicted = 'REJECT' AND human = 'PASS' UNION ALL SELECT doc_id, 'low_confidence' FROM judged")
+def confusion_cases(spark, sf_dir):
+    from functools import reduce
+
+    cases = Q.confusion_cases(_judged(spark, sf_dir), "predicted", "human", "confidence")
+    return reduce(DataFrame.unionAll, (df.select("doc_id", F.lit(kind).alias("kind")) for kind, df in cases.items()))
+
+
+@query(f"WITH {RULE_SQL} SELECT token, count(*) AS n FROM (SELECT unnest(string_split(qc_reason, ';')) AS token FROM rule) GROUP BY token")
+def reason_counts(spark, sf_dir):
+    return A.token_counts(_rule(spark, sf_dir), "qc_reason")
+
+
+@query("SELECT p_partkey, p_type AS family, true AS training_allowed, false AS inference_only FROM part UNION ALL SELECT item_id, NULL, false, true FROM benchmark")
+def library_union(spark, sf_dir):
+    a = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("family"))
+    return M.library_union(a, table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("p_partkey")))
+
+
+@query("WITH n AS (SELECT c_custkey, rank() OVER (ORDER BY c_nationkey) + (count(*) OVER (PARTITION BY c_nationkey) - 1) / 2 AS r, count(*) OVER () AS n FROM customer) SELECT c_custkey, round(r / n, 6) AS pct FROM n")
+def percent_ranks(spark, sf_dir):
+    ranked = S.percent_ranks(table(spark, sf_dir, "customer"), "c_nationkey", "pct")
+    return ranked.select("c_custkey", rounded("pct").alias("pct"))
+
+
 # ---- streams --------------------------------------------------------------------------------------------
 
 
