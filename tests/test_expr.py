@@ -18,8 +18,8 @@ def test_truth_and_numbers(spark):
 
 
 def test_clamp_round_and_either(spark):
-    got = one(spark, E.clamp(F.lit(1.7)), E.clamp(F.lit(-1.0)), E.clamp(F.lit(float("nan"))), E.rounded(F.lit(float("inf"))), E.either(F.lit(""), F.lit(None), F.lit("b")), E.either_number(F.lit(0.0), F.lit(3.0)))
-    assert got == [(1.0, 0.0, 1.0, None, "b", 3.0)]
+    got = one(spark, E.clamp(F.lit(1.7)), E.clamp(F.lit(-1.0)), E.clamp(F.lit(float("nan"))), E.clamp(F.lit(None).cast("double")), E.rounded(F.lit(float("inf"))), E.either(F.lit(""), F.lit(None), F.lit("b")), E.either_number(F.lit(0.0), F.lit(3.0)))
+    assert got == [(1.0, 0.0, 1.0, None, None, "b", 3.0)]
 
 
 def test_sets(spark):

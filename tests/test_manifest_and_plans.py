@@ -126,3 +126,19 @@ def test_progress(spark):
     assert got[None] == (4, 10, 6, 2, 1, 1, 0.6) and got["x"] == (2, 7, 6, 1, 1, 0, 0.857143)
     reports = spark.createDataFrame([('{"probe_pass": false}',), ('{"probe_pass": true}',), ("?",)], "j string")
     assert P.probe_passed(reports, "j").first().passed and not P.probe_passed(reports.limit(0), "j").first().passed
+
+
+def test_ranks_over_ranges(spark):
+    import random
+
+    rnd = random.Random(3)
+    values = [rnd.choice([None, 0.0, 5.0, -1e9, 1e9, rnd.random()]) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(values)), "k int, v double")
+    order = sorted(range(200), key=lambda i: (values[i] is not None, values[i] or 0.0, i))
+    place = {i: n for n, i in enumerate(order, 1)}
+    got = {r.k: r for r in S.with_bins(S.percent_ranks(df, "v", "p"), "v", "k", 4, "b").collect()}
+    for i, v in enumerate(values):
+        tied = [place[j] for j, w in enumerate(values) if w == v]
+        assert got[i].p == pytest.approx(sum(tied) / len(tied) / 200) and got[i].b == max(-(-(place[i] - 1) * 4 // 199), 1) - 1
+    same = spark.createDataFrame([(1, 2.0), (2, 2.0)], "k int, v double")
+    assert sorted(r.p for r in S.percent_ranks(same, "v", "p").collect()) == [0.75, 0.75]

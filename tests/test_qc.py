@@ -109,7 +109,7 @@ def test_stand_in_and_selection(spark):
 
 def test_hard_score_counts_whole_tokens(spark):
     df = spark.createDataFrame([(1, "PASS", 1, 1, "static_clip=False"), (2, "WARN", 2, 2, "static_clip;low_action")], "id int, s string, t int, c int, r string")
-    got = {r.id: r.x for r in df.withColumn("x", Q.hard_score(df, "s", "t", "c", "r")).collect()}
+    got = {r.id: r.x for r in Q.with_hard_score(df, "s", "t", "c", "r", "x").collect()}
     assert got[1] == pytest.approx(0.6 + 0.75) and got[2] == pytest.approx(5 + 1.2 + 1.5 + 3.5)
 
 

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window, WindowSpec
 
 
 def col(c: Column | str) -> Column:
@@ -42,9 +41,10 @@ def finite(c: Column | str) -> Column:
     return safe_float(c, None)
 
 
-def clamp(c: Column | str, low: float = 0.0, high: float = 1.0) -> Column:
-    """Between low and high; NaN becomes high."""
-    return F.greatest(F.lit(low), F.least(F.lit(high), col(c)))
+def clamp(c: Column | str, low: Column | float = 0.0, high: Column | float = 1.0) -> Column:
+    """Between low and high; NaN becomes high, null stays null (least and greatest alone pass nulls over)."""
+    low, high = (x if isinstance(x, Column) else F.lit(x) for x in (low, high))
+    return F.when(col(c).isNotNull(), F.greatest(low, F.least(high, col(c))))
 
 
 def rounded(c: Column | str, digits: int = 6) -> Column:
@@ -174,13 +174,6 @@ def even_indices(count: Column | str, n: int) -> Column:
     return F.when(c <= 0, F.array().cast("array<bigint>")).when(c <= n, F.sequence(F.lit(0).cast("long"), c.cast("long") - 1)).otherwise(F.array_distinct(spread))
 
 
-def percent_rank_mean(value: str, over: WindowSpec | None = None) -> Column:
-    """Rank over count, ties sharing the mean of their ranks."""
-    base = over or Window.partitionBy(F.lit(0))
-    tied = Window.partitionBy(value) if over is None else over.partitionBy(value)
-    return (F.rank().over(base.orderBy(value)) + (F.count("*").over(tied) - 1) / 2) / F.count("*").over(base)
-
-
 def quantile_bin(rank: Column, n: Column, bins: int) -> Column:
     """Bin of a first-come rank (from 1) among n rows, as cutting the ranks at their quantiles gives it."""
     return F.when(n <= 1, F.lit(0)).otherwise((F.greatest(F.ceil((rank - 1) * bins / (n - 1)), F.lit(1)) - 1).cast("int"))

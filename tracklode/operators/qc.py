@@ -252,13 +252,15 @@ def confusion_cases(df: DataFrame, predicted: str, human: str, confidence: str)
     return {"false_pass": df.where((p == "PASS") & (h == "REJECT")), "false_reject": df.where((p == "REJECT") & (h == "PASS")), "low_confidence": df.where(safe_float(confidence, 0.0) <= 1)}
 
 
-def hard_score(df: DataFrame, status: str, t: str, c: str, risk: str) -> Column:
-    """How much a row is worth a person's look. Tokens count as whole items of the risk text, not as parts of words."""
-    from tracklode.functions.expr import percent_rank_mean
+def with_hard_score(df: DataFrame, status: str, t: str, c: str, risk: str, name: str = "hard_score") -> DataFrame:
+    """Adds how much a row is worth a person's look. Tokens count as whole items of the risk text, not as parts of words."""
+    from tracklode.operators.sampling import percent_ranks
 
     listed = F.transform(items(risk), lambda x: F.lower(x))
     points = reduce(lambda a, b: a + b, (F.when(F.array_contains(listed, token), w).otherwise(0.0) for token, w in HARD_SCORE_TOKENS.items()))
-    return F.when(F.col(status).isin(*RISKY_STATUSES), 5.0).otherwise(0.0) + 1.2 * percent_rank_mean(t) + 1.5 * percent_rank_mean(c) + points
+    rows = percent_ranks(percent_ranks(df, t, "__t"), c, "__c")
+    score = F.when(F.col(status).isin(*RISKY_STATUSES), 5.0).otherwise(0.0) + 1.2 * F.col("__t") + 1.5 * F.col("__c") + points
+    return rows.withColumn(name, score).select(*df.columns, name)
 
 
 # ---- exports (F6, D-5, D-7, H8, X45) --------------------------------------------------------------------

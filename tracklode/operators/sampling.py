@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tracklode.functions.expr import arithmetic_hash, col, percent_rank_mean, quantile_bin
+from tracklode.functions.expr import arithmetic_hash, col, quantile_bin
 
 
 def first_per_group(df: DataFrame, group: list[str], order: list[Column | str], n: int) -> DataFrame:
@@ -59,11 +59,43 @@ def style_choice(key: Column | str, styles: list[tuple[str, int]]) -> Column:
     return out.otherwise(styles[-1][0])
 
 
+#: Ranges of values that are ranked apart.
+RANGES = 4096
+
+
+def value_ranks(df: DataFrame, value: str) -> DataFrame:
+    """``__v, __n, __less, __all``: each distinct value, its rows, the rows of smaller values, and all rows. Null is the smallest.
+
+    Rows are counted by value before anything is ordered; values are ordered within equal ranges, and only the ranges' sums,
+    at most ``RANGES`` rows, are ordered in one place.
+    """
+    counts = df.groupBy(F.col(value).alias("__v")).agg(F.count("*").alias("__n"))
+    ends = counts.agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__n").alias("__all"))
+    width = F.greatest((F.col("__hi") - F.col("__lo")) / F.lit(RANGES), F.lit(1e-300))
+    at = F.when(F.col("__v").isNull(), F.lit(-1)).otherwise(F.least(F.floor((F.col("__v") - F.col("__lo")) / width), F.lit(RANGES - 1)))
+    placed = counts.crossJoin(F.broadcast(ends)).withColumn("__r", at)
+    before = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = placed.groupBy("__r").agg(F.sum("__n").alias("__s")).select("__r", F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__b"))
+    within = Window.partitionBy("__r").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    out = placed.withColumn("__w", F.coalesce(F.sum("__n").over(within), F.lit(0))).join(ranges, "__r")
+    return out.select("__v", "__n", (F.col("__b") + F.col("__w")).alias("__less"), "__all")
+
+
+def _ranked(df: DataFrame, value: str) -> DataFrame:
+    ranks = value_ranks(df, value)
+    return df.join(ranks, F.col(value).eqNullSafe(F.col("__v")))
+
+
+def percent_ranks(df: DataFrame, value: str, name: str) -> DataFrame:
+    """Adds rank over count, ties sharing the mean of their ranks."""
+    rank = F.col("__less") + (F.col("__n") + 1) / 2
+    return _ranked(df, value).withColumn(name, rank / F.col("__all")).select(*df.columns, name)
+
+
 def with_bins(df: DataFrame, value: str, key: str, bins: int, name: str) -> DataFrame:
     """Adds the quantile bin of a value, ties dealt in the order of the key."""
-    w = Window.orderBy(value, key)
-    n = F.count("*").over(Window.partitionBy(F.lit(0)))
-    return df.withColumn(name, quantile_bin(F.row_number().over(w), n, bins))
+    rows = _ranked(df, value).withColumn("__k", F.row_number().over(Window.partitionBy("__v").orderBy(key)))
+    return rows.withColumn(name, quantile_bin(F.col("__less") + F.col("__k"), F.col("__all"), bins)).select(*df.columns, name)
 
 
 def stratified_sample(df: DataFrame, strata: list[str], key: str, n: int) -> DataFrame:
@@ -82,10 +114,6 @@ def composed_sample(df: DataFrame, key: str, n_random: int, n_hard: int, n: int,
     return first.unionByName(second).unionByName(third)
 
 
-def percent_ranks(df: DataFrame, value: str, name: str) -> DataFrame:
-    return df.withColumn(name, percent_rank_mean(value))
-
-
 def next_unlabelled(df: DataFrame, index: str, label: str, after: int) -> DataFrame:
     """The next row without a label after an index, else the first such row, else 0."""
     free = F.coalesce(label, F.lit("")) == ""

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tracklode.functions.expr import col, finite, l2, minus, quaternion_norm, reasons, rounded
+from tracklode.functions.expr import clamp, col, finite, l2, minus, quaternion_norm, reasons, rounded
 
 
 def steps(df: DataFrame, keys: list[str], order: list[str]):
@@ -163,10 +163,10 @@ def normalise(df: DataFrame, values: str) -> tuple[DataFrame, DataFrame]:
     long = df.select(F.posexplode(values).alias("dim", "x")).select("dim", F.col("x").cast("double").alias("x"))
     p = F.percentile("x", F.array(F.lit(0.01), F.lit(0.99)))
     limits = long.groupBy("dim").agg(p.alias("p")).select("dim", F.col("p")[0].alias("p01"), F.col("p")[1].alias("p99"))
-    clipped = long.join(F.broadcast(limits), "dim").withColumn("x", F.greatest("p01", F.least("p99", "x")))
+    clipped = long.join(F.broadcast(limits), "dim").withColumn("x", clamp("x", F.col("p01"), F.col("p99")))
     config = clipped.groupBy("dim").agg(F.first("p01").alias("p01"), F.first("p99").alias("p99"), F.avg("x").alias("mean"), (F.stddev_pop("x") + 1e-6).alias("std"))
     packed = config.agg(F.array_sort(F.collect_list(F.struct("dim", "p01", "p99", "mean", "std"))).alias("cfg"))
-    scaled = F.zip_with(values, "cfg", lambda x, c: (F.greatest(c["p01"], F.least(c["p99"], x.cast("double"))) - c["mean"]) / c["std"])
+    scaled = F.zip_with(values, "cfg", lambda x, c: (clamp(x.cast("double"), c["p01"], c["p99"]) - c["mean"]) / c["std"])
     return df.crossJoin(F.broadcast(packed)).withColumn("normalised", scaled).drop("cfg"), config
 
 

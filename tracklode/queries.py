@@ -493,7 +493,7 @@ def stratified_sample(spark, sf_dir):
   + CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 0 END AS score FROM documents) SELECT doc_id, round(score, 6) AS score FROM r ORDER BY r.score DESC, doc_id LIMIT 300""")
 def hard_rank(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("doc_id", "n_chars", F.length("lang").alias("c"), F.when(F.col("n_chars") % 4 == 0, "WARN").otherwise("PASS").alias("status"), F.when(F.col("doc_id") % 3 == 0, "static_clip;x").otherwise("static_clip=False").alias("risk"))
-    scored = rows.withColumn("raw", Q.hard_score(rows, "status", "n_chars", "c", "risk"))
+    scored = Q.with_hard_score(rows, "status", "n_chars", "c", "risk", "raw")
     return scored.orderBy(F.desc("raw"), "doc_id").limit(300).select("doc_id", rounded("raw").alias("score"))
 
 
