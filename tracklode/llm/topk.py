@@ -28,8 +28,8 @@ from tracklode.llm.common import Scratch, small_batches
 NODES = 2
 #: Rows of a packed block: of queries, and of vectors.
 QUERIES, ROWS = 512, 1024
-#: Vectors of one group.
-GROUP_ROWS = 32_768
+#: Vectors of one group at most. Small tables are cut finer, to at least this many and so that all cores have some.
+GROUP_ROWS, LEAST_ROWS = 32_768, 1024
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -124,7 +124,8 @@ def search(vectors: DataFrame, scratch: Scratch, every: int = 50, k: int = 5, sc
     """
     small_batches(scratch.spark)
     numbers = scratch.write(quantised(vectors, scale), "vectors")
-    groups = max(1, -(-numbers.count() // GROUP_ROWS))
+    n = numbers.count()
+    groups = max(1, -(-n // GROUP_ROWS), min(-(-n // LEAST_ROWS), 4 * scratch.spark.sparkContext.defaultParallelism))
     chunks = _packed(numbers, ROWS).withColumn("group", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int"))
     asked = numbers.where(F.col("vec_id") % every == 0)
 
