@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from tracklode.llm import lines
+from tracklode.llm.common import Scratch
 
 
 def plain(rows, ratio, least):
@@ -36,7 +37,7 @@ def data():
 @pytest.mark.parametrize("ratio,least", [(0.3, 2), (0.03, 5), (0.9, 1)])
 def test_against_plain_counts(spark, ratio, least):
     df = spark.createDataFrame(data(), "doc_id long, source string, text string").selectExpr("*", "'q' as host", "'r' as lines", "7 as n_lines", "1 as pages").repartition(3)
-    out = lines.drop_boilerplate(df, ratio=ratio, min_pages=least)
+    out = lines.drop_boilerplate(df, Scratch(spark), ratio=ratio, min_pages=least)
     assert set(out.columns) == set(df.columns) | {"n_dropped"}
     got = [(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in out.collect()]
     assert sorted(got, key=str) == sorted(plain(data(), ratio, least), key=str)
@@ -44,9 +45,9 @@ def test_against_plain_counts(spark, ratio, least):
 
 def test_plan_has_no_python(spark):
     df = spark.createDataFrame(data(), "doc_id long, source string, text string")
-    plan = lines.drop_boilerplate(df)._jdf.queryExecution().toString()
+    plan = lines.drop_boilerplate(df, Scratch(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
 
 
 def test_empty_table(spark):
-    assert lines.drop_boilerplate(spark.createDataFrame([], "doc_id long, source string, text string")).count() == 0
+    assert lines.drop_boilerplate(spark.createDataFrame([], "doc_id long, source string, text string"), Scratch(spark)).count() == 0

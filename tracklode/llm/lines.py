@@ -2,8 +2,9 @@
 
 For each host, the pages that contain a line are divided by the pages of the host; a line over the ratio is
 boilerplate. Lines are counted once a page, by 128-bit digest, with sums before the shuffle. A host cannot have more
-boilerplate lines than its lines a page divided by the ratio, so each host's set is a small array; it joins the pages
-on the host (AQE splits a hot host), and pages drop lines in place without being taken apart and put together.
+boilerplate lines than its lines a page divided by the ratio, so each host's set is a small array. The sets are written
+to the shared folder and join the pages on the host as a plain exchange, so that AQE splits a hot host; pages drop lines
+in place without being taken apart and put together.
 """
 
 from __future__ import annotations
@@ -11,12 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracklode.llm.common import Scratch
+
 
 def _digest(line: Column) -> Column:
     return F.unhex(F.md5(line.cast("binary")))
 
 
-def boilerplate(pages: DataFrame, host: str, text: str, ratio: float, min_pages: int) -> DataFrame:
+def boilerplate(pages: DataFrame, scratch: Scratch, host: str, text: str, ratio: float, min_pages: int) -> DataFrame:
     """``host, lines``: digests of the host's lines that are on more than ``ratio`` of its pages and on ``min_pages``.
 
     Lines are compared without the spaces at their ends; blank lines never count.
@@ -26,19 +29,19 @@ def boilerplate(pages: DataFrame, host: str, text: str, ratio: float, min_pages:
     page = pages.select(F.col(host).alias("host"), F.col(text)).where(F.col("host").isNotNull())
     each = page.where(F.col(text).isNotNull()).select("host", F.explode(once).alias("line")).select("host", _digest(F.col("line")).alias("line"))
     counts = each.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    totals = page.groupBy("host").agg(F.count("*").alias("pages"))
+    totals = scratch.write(page.groupBy("host").agg(F.count("*").alias("pages")), "pages-of-host")
     over = counts.join(totals, "host").where(F.col("n") > F.col("pages") * ratio)
-    return over.groupBy("host").agg(F.collect_set("line").alias("lines"))
+    return scratch.write(over.groupBy("host").agg(F.collect_set("line").alias("lines")), "boilerplate")
 
 
-def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.03, min_pages: int = 5) -> DataFrame:
+def drop_boilerplate(pages: DataFrame, scratch: Scratch, host: str = "source", text: str = "text", ratio: float = 0.03, min_pages: int = 5) -> DataFrame:
     """``pages`` with boilerplate lines cut from ``text``, and ``n_lines`` and ``n_dropped`` (0 for a null text).
 
     Every row of ``pages`` counts as a page, repeated rows too. Pages without a host, and texts without such lines, stay
     as they are. Columns ``n_lines`` and ``n_dropped`` of the input are replaced.
     """
     base = pages.drop("n_lines", "n_dropped")
-    sets = boilerplate(base, host, text, ratio, min_pages).select(F.col("host").alias("__host"), F.col("lines").alias("__set"))
+    sets = boilerplate(base, scratch, host, text, ratio, min_pages).select(F.col("host").alias("__host"), F.col("lines").alias("__set"))
     both = base.join(sets, F.col(host) == F.col("__host"), "left")
     lines = F.split(F.col(text), "\n")
     kept = F.filter(lines, lambda x: (F.btrim(x) == "") | ~F.array_contains(F.col("__set"), _digest(F.btrim(x))))

@@ -55,7 +55,7 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = lines.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    cleaned = lines.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), Scratch(spark))
     kept = F.sha2(F.coalesce("text", F.lit("")), 256)
     return cleaned.select("doc_id", "source", "n_lines", "n_dropped", kept.alias("kept_sha256"))
 
