@@ -290,7 +290,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, size: int = 3, bits: int
     root = components(links, scratch)
     rooted = distinct.join(root.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     rooted = scratch.write(rooted, "roots")
-    least = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    least = scratch.write(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "least")
     labelled = rooted.join(least, "root").select("fp", "component_id")
     return prints.join(labelled, "fp").select("doc_id", "fp", "component_id")
 
