@@ -32,7 +32,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/tracklode/{label}-{uuid.uuid4().hex}"
+    """A new place in the shared folder, with its scheme, so that readers outside Spark find the same store."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tracklode/{label}-{uuid.uuid4().hex}")
+    full = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return "file://" + full.removeprefix("file:") if full.startswith("file:/") and not full.startswith("file://") else full
 
 
 class Scratch:
