@@ -166,7 +166,8 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, window: int = 20) -> DataF
     spans = scratch.write(spans, "block-spans")
     scratch.drop(held)
 
-    several = classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # written, so that both sides of the joins are plain exchanges, whose hot keys can be split
+    several = scratch.write(classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "several")
     single = classes.join(several, "h", "left_semi").select("h", "m", "first.*")
     asked = single.groupBy("k", "v").agg(F.collect_list(F.struct("h", "s", "m")).alias("asked"))
     form2 = "h long, w long, k long, v int, s int"
@@ -191,9 +192,10 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, window: int = 20) -> DataF
 
     wide = docs.select("k", "v", "text").join(asked, ["k", "v"])
     held = scratch.write(wide.mapInArrow(windows, form2), "windows")
-    scratch.drop(classes)
+    scratch.drop(classes, several)
     scratch.sweep()
     firsts = held.groupBy("h", "w").agg(F.min(F.struct("k", "v", "s")).alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "w", "first")
+    firsts = scratch.write(firsts, "firsts")
     rest = held.join(firsts, ["h", "w"]).where(F.struct("k", "v", "s") > F.col("first"))
     spans = spans.unionAll(rest.select("k", "v", F.col("s").alias("a"), (F.col("s") + window).alias("e")))
     out = scratch.write(spans.groupBy("k", "v").agg(F.collect_list(F.struct("a", "e")).alias("spans")), "spans")
