@@ -37,28 +37,37 @@ def shape(word: str) -> str:
     return _DIGIT.sub("0", _LOWER.sub("a", _UPPER.sub("A", word)))[:24]
 
 
-class Grams:
-    """Distinct feature buckets of a text."""
-
-    def __init__(self, limit: int = 300_000):
-        self.known: dict[str, tuple[int, int]] = {}
-        self.limit = limit
-
-    def word(self, w: str) -> tuple[int, int]:
-        if len(self.known) >= self.limit:
-            self.known.clear()
-        pair = self.known[w] = (xxhash.xxh64_intdigest(w.lower(), 1), xxhash.xxh64_intdigest(shape(w), 2))
-        return pair
+class Grams(dict):
+    """Distinct feature buckets of a text. Words map to rows of ``codes``, the hashes of word and shape."""
+
+    def __init__(self, limit: int = 600_000):
+        self.codes = np.zeros((limit, 2), np.uint64)
+        self.shapes: dict[str, int] = {}
+
+    def __missing__(self, w: str) -> int:
+        at = self[w] = len(self)
+        form = "a" if w.isalpha() and w.islower() and w.isascii() else shape(w)
+        code = self.shapes.get(form)
+        if code is None:
+            if len(self.shapes) > 100_000:
+                self.shapes.clear()
+            code = self.shapes[form] = xxhash.xxh64_intdigest(form, 2)
+        self.codes[at] = xxhash.xxh64_intdigest(w.lower(), 1), code
+        return at
 
     def __call__(self, text: str | None) -> np.ndarray:
-        known = self.known
-        pairs = [known.get(w) or self.word(w) for w in (text or "").split()]
-        if not pairs:
+        words = (text or "").split()
+        if not words:
             return np.zeros(0, np.int64)
-        w, s = np.array(pairs, dtype=np.uint64).T
+        if len(self) + len(words) > len(self.codes):
+            self.clear()
+            if len(words) > len(self.codes):
+                self.codes = np.zeros((len(words), 2), np.uint64)
+        w, s = self.codes[np.array([self[x] for x in words], dtype=np.int32)].T
         s2 = s[:-1] * MIX + s[1:]
-        grams = [w, w[:-1] * MIX + w[1:] + np.uint64(3), s, s2 + np.uint64(5), (s2[:-1] * MIX + s[2:]) + np.uint64(7)]
-        return np.unique(np.concatenate(grams) * MIX >> np.uint64(64 - BITS)).astype(np.int64)
+        form = np.unique(np.concatenate([s, s2 + np.uint64(5), (s2[:-1] * MIX + s[2:]) + np.uint64(7)]) * MIX >> np.uint64(64 - BITS))
+        word = np.concatenate([w, w[:-1] * MIX + w[1:] + np.uint64(3)]) * MIX >> np.uint64(64 - BITS)
+        return np.unique(np.concatenate([form, word])).astype(np.int64)
 
 
 def held_out(id_col: str = "doc_id"):
