@@ -124,3 +124,69 @@ def test_one_document_of_each_group_stays(spark):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(none, Scratch(spark)).count() == 0 and simhash.keep_one(none, Scratch(spark)).count() == 0
+
+
+def similarity(a, b, size=5):
+    x, y = ({tuple(t.lower().split()[k : k + size]) for k in range(max(1, len(t.split()) - size + 1))} for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def plain_kept(rows, least=0.8):
+    """Ids that stay, by comparing all."""
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if similarity(rows[i][1], rows[j][1]) >= least - 1e-9:
+                parent[find(i)] = find(j)
+    return sorted({find(i): min(d for k, (d, _) in enumerate(rows) if find(k) == find(i)) for i in range(len(rows))}.values())
+
+
+def kept(spark, rows):
+    return sorted(r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark)).collect())
+
+
+def distinct_print(words):
+    return plain_fingerprint(" ".join(sorted(set(words))), 1)
+
+
+def test_a_pair_counts_whatever_lies_between_its_fingerprints(spark):
+    apart = lambda x, y: bin(distinct_print(x) ^ distinct_print(y)).count("1")
+    for seed in range(2000):
+        rnd = random.Random(seed)
+        a = [f"t{rnd.randrange(10**6)}" for _ in range(200)]
+        b, c = list(a), list(a)
+        for k in (20, 21, 22, 23, 24, 25):
+            b[k] = f"u{rnd.randrange(10**6)}"
+        c[20:23] = b[20:23]
+        rnd.shuffle(c)
+        if 0 < apart(a, c) < apart(a, b) <= 7 and 0 < apart(b, c) < apart(a, b):
+            break
+    else:
+        raise AssertionError("no such texts")
+    rows = [(k, " ".join(t)) for k, t in enumerate((a, b, c))]
+    assert plain_kept(rows) == [0, 2] == kept(spark, rows)
+
+
+@pytest.mark.parametrize("reach,frequent", [(2, 50), (8, 0)])
+def test_keep_one_against_all_pairs(spark, monkeypatch, reach, frequent):
+    monkeypatch.setattr(simhash.jaccard, "REACH", reach)
+    monkeypatch.setattr(simhash.jaccard, "FREQUENT", frequent)
+    monkeypatch.setattr(simhash.jaccard, "WINDOW", 50)
+    rnd = random.Random(4)
+    common, texts = [f"c{k}" for k in range(40)], []
+    for group in range(12):
+        base = [f"g{group}x{rnd.randrange(500)}" for _ in range(rnd.choice([4, 30, 60, 120]))] + common * (group % 2)
+        for _ in range(12):
+            text = list(base)
+            for _ in range(rnd.randrange(6)):
+                text[rnd.randrange(len(text))] = f"n{rnd.randrange(10**6)}"
+            texts.append(" ".join(text[rnd.randrange(3) :]))
+    rnd.shuffle(texts)
+    rows = list(enumerate(texts))
+    assert kept(spark, rows) == plain_kept(rows)

@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracklode.llm import jaccard
 from tracklode.llm.common import Scratch, components, forest, map_rows
 
 #: Members of one variant's group that are compared in one place.
@@ -246,63 +247,61 @@ def link(prints: DataFrame, scratch: Scratch, bits: int = 2, cap: int = GROUP) -
     return links
 
 
-def similar(links: DataFrame, distinct: DataFrame, docs: DataFrame, scratch: Scratch, size: int, least: float) -> DataFrame:
-    """Those of the links whose first documents have a Jaccard similarity of ``least`` on word shingles, or more."""
+def _labelled(prints: DataFrame, distinct: DataFrame, root: DataFrame, scratch: Scratch) -> DataFrame:
+    rooted = distinct.join(root.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    rooted = scratch.write(rooted, "roots")
+    least = scratch.write(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "least")
+    labelled = rooted.join(least, "root").select("fp", "component_id")
+    return prints.join(labelled, "fp").select("doc_id", "fp", "component_id")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = []
-            for text in batch.column(1).to_pylist():
-                got.append(np.unique(np.array([xxhash.xxh64_intdigest(s, 42) for s in word_shingles(text or b"", size)], dtype=np.uint64)).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.binary())], names=["fp", "shingles"])
 
-    ends = links.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(distinct, "fp").select("fp", F.col("low").alias("doc_id"))
-    # of rows that share an id, one stands for the fingerprint
-    text = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(ends, "doc_id").select("fp", "text")
-    found = scratch.write(text.mapInArrow(sets, "fp long, shingles binary"), "shingles")
+def near_duplicates(docs: DataFrame, scratch: Scratch, size: int = 3, bits: int = 2) -> DataFrame:
+    """``doc_id, fp, component_id``: the smallest document id that a chain of fingerprints within ``bits`` reaches.
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= least * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    Documents without words have fingerprint zero and are linked like others. A null id stays in its component and
+    counts only if all ids there are null. Repeated rows stay repeated.
+    """
+    prints = scratch.write(fingerprints(docs, size), "fingerprints")
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
+    return _labelled(prints, distinct, components(link(distinct, scratch, bits), scratch), scratch)
 
-    left, right = (found.select(F.col("fp").alias(c), F.col("shingles").alias(f"of_{c}")) for c in "ab")
-    paired = links.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
-    return paired.mapInArrow(check, "a long, b long").distinct()
 
+def shingle_sets(docs: DataFrame, distinct: DataFrame, scratch: Scratch, size: int) -> DataFrame:
+    """``node, shingles``: the hashes of the word shingles of one text for each ``fp`` of ``distinct``."""
 
-def near_duplicates(docs: DataFrame, scratch: Scratch, size: int = 3, bits: int = 2, distinct_words: bool = False, verify: tuple[int, float] | None = None) -> DataFrame:
-    """``doc_id, fp, component_id``: the smallest document id that a chain of fingerprints within ``bits`` reaches.
+    def kernel():
+        def rows(ids, texts, wanted):
+            for text, want in zip(texts, wanted):
+                node = signed(fingerprint(text, 1, True))
+                if want is None or node == want:
+                    yield node, np.unique(np.array([xxhash.xxh64_intdigest(s, 42) for s in word_shingles(text, size)], dtype=np.uint64)).tobytes()
 
-    ``verify=(shingle size, similarity)`` keeps only links whose texts are that similar. Documents without words have
-    fingerprint zero and are linked like others. A null id stays in its component and counts only if all ids there
-    are null. Repeated rows stay repeated.
-    """
-    prints = scratch.write(fingerprints(docs, size, distinct_words), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    links = link(distinct, scratch, bits)
-    if verify:
-        links = similar(scratch.write(links.distinct(), "candidates"), distinct, docs, scratch, *verify)
-    root = components(links, scratch)
-    rooted = distinct.join(root.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    rooted = scratch.write(rooted, "roots")
-    least = scratch.write(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "least")
-    labelled = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(labelled, "fp").select("doc_id", "fp", "component_id")
+        return rows
+
+    # of rows that share an id, those that have the text; texts that only rows without id have come last
+    named = docs.join(distinct.where("low is not null").select(F.col("low").alias("doc_id"), F.col("fp").alias("want")), "doc_id")
+    nameless = docs.where("doc_id is null").withColumn("want", F.lit(None).cast("long"))
+    made = (map_rows(x, ["doc_id", "text", "want"], "node long, shingles binary", kernel) for x in (named.select("doc_id", "text", "want"), nameless.select("doc_id", "text", "want")))
+    named, nameless = (scratch.write(x, "shingles") for x in made)
+    only = distinct.where("low is null").select(F.col("fp").alias("node"))
+    return scratch.write(named.unionAll(nameless.join(only, "node", "left_semi").dropDuplicates(["node"])), "shingles")
 
 
-def keep_one(docs: DataFrame, scratch: Scratch, bits: int = 7, shingle: int = 5, least: float = 0.8) -> DataFrame:
+def keep_one(docs: DataFrame, scratch: Scratch, shingle: int = 5, least: float = 0.8) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id, with its columns.
 
-    Fingerprints of distinct words find texts that differ in a few of them (a change of one word touches one
-    feature, not five); a link counts if the texts' five-word shingles have a similarity of 0.8 or more. Two texts of
-    one fingerprint count as copies. Rows without words or without an id are all kept.
+    Texts are linked if their word shingles have a similarity of ``least`` or more: all such pairs are found and checked
+    (``jaccard``). Two texts of one fingerprint of distinct words count as copies. Rows without words or without an id are all kept.
     """
     worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    found = near_duplicates(docs.where(worded), scratch, 1, bits, True, (shingle, least))
+    texts = docs.where(worded).select("doc_id", F.col("text").cast("binary").alias("text"))
+
+    def kernel():
+        return lambda ids, texts: ((i, signed(fingerprint(t, 1, True))) for i, t in zip(ids, texts))
+
+    prints = scratch.write(map_rows(texts, ["doc_id", "text"], "doc_id long, fp long", kernel), "texts")
+    distinct = scratch.write(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
+    root = jaccard.joined(shingle_sets(texts, distinct, scratch, shingle), scratch, least)
+    found = _labelled(prints, distinct, root, scratch)
     doubles = found.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(doubles, "doc_id", "left_anti")
