@@ -190,3 +190,18 @@ def test_keep_one_against_all_pairs(spark, monkeypatch, reach, frequent):
     rnd.shuffle(texts)
     rows = list(enumerate(texts))
     assert kept(spark, rows) == plain_kept(rows)
+
+
+def test_texts_of_one_fingerprint_are_checked(spark):
+    words = [f"w{k}" for k in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join(reversed(words))), (3, " ".join(words * 2)), (4, " ".join(words).upper()), (5, "\t".join(reversed(words)) + " "), (6, " ".join(sorted(words)))]
+    assert len({distinct_print(t.lower().split()) for _, t in rows}) == 1
+    assert kept(spark, rows) == plain_kept(rows)
+
+
+def test_ids_that_repeat_or_lack(spark):
+    base = [[f"{c}{k}" for k in range(60)] for c in "abc"]
+    near = [[*b[:30], "other", *b[31:]] for b in base]
+    rows = [(1, base[0]), (1, base[1]), (2, near[1]), (None, base[2]), (3, near[2]), (4, near[2]), (None, base[2])]
+    got = sorted((r.doc_id or 0 for r in simhash.keep_one(spark.createDataFrame([(d, " ".join(t)) for d, t in rows], "doc_id long, text string"), Scratch(spark)).collect()))
+    assert got == [0, 0, 1, 1, 3]

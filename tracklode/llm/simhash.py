@@ -37,11 +37,9 @@ def word_shingles(data: bytes, size: int) -> list[bytes]:
     return list(map(b" ".join, zip(*(words[k:] for k in range(size)))))
 
 
-def fingerprint(data: bytes, size: int = 3, distinct: bool = False) -> int:
+def fingerprint(data: bytes, size: int = 3) -> int:
     """Bit b is 1 if it is set in over half of the shingles' XXH64 (seed 42); no words: zero."""
     shingles = word_shingles(data, size)
-    if distinct:
-        shingles = list(set(shingles))
     if not shingles:
         return 0
     hashes = np.array([xxhash.xxh64_intdigest(s, 42) for s in shingles], dtype="<u8")
@@ -55,15 +53,20 @@ def signed(v: int) -> int:
     return v - (1 << 64) if v >> 63 else v
 
 
-def fingerprints(docs: DataFrame, size: int = 3, distinct: bool = False) -> DataFrame:
+def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
     """``doc_id, fp``: the fingerprint of every whole text, as a signed long. Null texts count as empty."""
 
     def kernel():
-        return lambda ids, texts: ((i, signed(fingerprint(t or b"", size, distinct))) for i, t in zip(ids, texts))
+        return lambda ids, texts: ((i, signed(fingerprint(t or b"", size))) for i, t in zip(ids, texts))
 
     return map_rows(docs.select("doc_id", F.col("text").cast("binary").alias("text")), ["doc_id", "text"], "doc_id long, fp long", kernel)
 
 
+def text_id(data: bytes) -> int:
+    """A hash of the sequence of ASCII-lower-cased words, as a signed long."""
+    return signed(xxhash.xxh3_64_intdigest(b" ".join(data.lower().split())))
+
+
 def segments(bits: int) -> list[tuple[int, int]]:
     """``(lowest bit, width)`` of the fewest segments of 64 bits of which one differs by at most one bit."""
     n = bits // 2 + 1 if bits else 1
@@ -272,7 +275,7 @@ def shingle_sets(docs: DataFrame, distinct: DataFrame, scratch: Scratch, size: i
     def kernel():
         def rows(ids, texts, wanted):
             for text, want in zip(texts, wanted):
-                node = signed(fingerprint(text, 1, True))
+                node = text_id(text)
                 if want is None or node == want:
                     yield node, np.unique(np.array([xxhash.xxh64_intdigest(s, 42) for s in word_shingles(text, size)], dtype=np.uint64)).tobytes()
 
@@ -291,13 +294,13 @@ def keep_one(docs: DataFrame, scratch: Scratch, shingle: int = 5, least: float =
     """One document of each group of near-duplicates, the one with the smallest id, with its columns.
 
     Texts are linked if their word shingles have a similarity of ``least`` or more: all such pairs are found and checked
-    (``jaccard``). Two texts of one fingerprint of distinct words count as copies. Rows without words or without an id are all kept.
+    (``jaccard``). Only texts of the same words in the same order are copies without a check. Rows without words or without an id are all kept.
     """
     worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     texts = docs.where(worded).select("doc_id", F.col("text").cast("binary").alias("text"))
 
     def kernel():
-        return lambda ids, texts: ((i, signed(fingerprint(t, 1, True))) for i, t in zip(ids, texts))
+        return lambda ids, texts: ((i, text_id(t)) for i, t in zip(ids, texts))
 
     prints = scratch.write(map_rows(texts, ["doc_id", "text"], "doc_id long, fp long", kernel), "texts")
     distinct = scratch.write(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
