@@ -36,3 +36,10 @@ def test_stages_on_an_empty_table(spark):
         out = stage(spark, docs, sf)
         assert out.count() == 0
         docs = out if out.columns == docs.columns else docs
+
+
+def test_a_large_group_of_copies_keeps_its_lines(spark):
+    rows = [(i, "a", f"Menu\nown line {i}") for i in range(60)] + [(100 + i, "a", "Menu\nfirst line of the copies\nsecond line") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").selectExpr("*", "length(text) as n_chars").selectExpr("doc_id", "source", "text", "cast(n_chars as long) as n_chars")
+    out = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    assert out == {i: f"own line {i}" if i < 100 else "first line of the copies\nsecond line" for i, _, _ in rows}

@@ -19,29 +19,33 @@ def _digest(line: Column) -> Column:
     return F.unhex(F.md5(line.cast("binary")))
 
 
-def boilerplate(pages: DataFrame, scratch: Scratch, host: str, text: str, ratio: float, min_pages: int) -> DataFrame:
+def boilerplate(pages: DataFrame, scratch: Scratch, host: str, text: str, ratio: float, min_pages: int, copies_once: bool = False) -> DataFrame:
     """``host, lines``: digests of the host's lines that are on more than ``ratio`` of its pages and on ``min_pages``.
 
-    Lines are compared without the spaces at their ends; blank lines never count.
+    Lines are compared without the spaces at their ends; blank lines never count. ``copies_once`` counts the pages of
+    a host that have one text as one page.
     """
     trimmed = F.transform(F.split(F.col(text), "\n"), lambda x: F.btrim(x))
     once = F.array_distinct(F.filter(trimmed, lambda x: x != ""))
     page = pages.select(F.col(host).alias("host"), F.col(text)).where(F.col("host").isNotNull())
-    each = page.where(F.col(text).isNotNull()).select("host", F.explode(once).alias("line")).select("host", _digest(F.col("line")).alias("line"))
+    page = page.withColumn("page", _digest(F.col(text)) if copies_once else F.lit(None).cast("binary"))
+    each = page.where(F.col(text).isNotNull()).select("host", "page", F.explode(once).alias("line")).select("host", "page", _digest(F.col("line")).alias("line"))
+    if copies_once:
+        each, page = each.distinct(), page.select("host", "page").distinct()
     counts = each.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     totals = scratch.write(page.groupBy("host").agg(F.count("*").alias("pages")), "pages-of-host")
     over = counts.join(totals, "host").where(F.col("n") > F.col("pages") * ratio)
     return scratch.write(over.groupBy("host").agg(F.collect_set("line").alias("lines")), "boilerplate")
 
 
-def drop_boilerplate(pages: DataFrame, scratch: Scratch, host: str = "source", text: str = "text", ratio: float = 0.03, min_pages: int = 5) -> DataFrame:
+def drop_boilerplate(pages: DataFrame, scratch: Scratch, host: str = "source", text: str = "text", ratio: float = 0.03, min_pages: int = 5, copies_once: bool = False) -> DataFrame:
     """``pages`` with boilerplate lines cut from ``text``, and ``n_lines`` and ``n_dropped`` (0 for a null text).
 
-    Every row of ``pages`` counts as a page, repeated rows too. Pages without a host, and texts without such lines, stay
+    Every row of ``pages`` counts as a page, repeated rows too, unless ``copies_once`` is set. Pages without a host, and texts without such lines, stay
     as they are. Columns ``n_lines`` and ``n_dropped`` of the input are replaced.
     """
     base = pages.drop("n_lines", "n_dropped")
-    sets = boilerplate(base, scratch, host, text, ratio, min_pages).select(F.col("host").alias("__host"), F.col("lines").alias("__set"))
+    sets = boilerplate(base, scratch, host, text, ratio, min_pages, copies_once).select(F.col("host").alias("__host"), F.col("lines").alias("__set"))
     both = base.join(sets, F.col(host) == F.col("__host"), "left")
     lines = F.split(F.col(text), "\n")
     kept = F.filter(lines, lambda x: (F.btrim(x) == "") | ~F.array_contains(F.col("__set"), _digest(F.btrim(x))))
