@@ -205,3 +205,15 @@ def test_ids_that_repeat_or_lack(spark):
     rows = [(1, base[0]), (1, base[1]), (2, near[1]), (None, base[2]), (3, near[2]), (4, near[2]), (None, base[2])]
     got = sorted((r.doc_id or 0 for r in simhash.keep_one(spark.createDataFrame([(d, " ".join(t)) for d, t in rows], "doc_id long, text string"), Scratch(spark)).collect()))
     assert got == [0, 0, 1, 1, 3]
+
+
+@pytest.mark.parametrize("length", [100, 300])
+def test_planted_runs_of_changed_words_are_found(spark, length):
+    rnd, rows = random.Random(length), []
+    for k in range(20):
+        base = [f"t{rnd.randrange(10**6)}" for _ in range(length)]
+        near, at = list(base), rnd.randrange(5, length * 8 // 10)
+        run = length // 15
+        near[at : at + run] = [f"u{rnd.randrange(10**6)}" for _ in range(run)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(near))]
+    assert plain_kept(rows) == [2 * k for k in range(20)] == kept(spark, rows)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tracklode.llm import jaccard
 from tracklode.llm.common import Scratch, components, forest, map_rows
+from tracklode.llm.jaccard import word_shingles
 
 #: Members of one variant's group that are compared in one place.
 GROUP = 20_000
@@ -29,14 +30,6 @@ GROUP = 20_000
 BLOCK = 512
 
 
-def word_shingles(data: bytes, size: int) -> list[bytes]:
-    """Shingles of ASCII-lower-cased words between ASCII white space, repeats included; fewer words: one shingle."""
-    words = data.lower().split()
-    if len(words) <= size:
-        return [b" ".join(words)] if words else []
-    return list(map(b" ".join, zip(*(words[k:] for k in range(size)))))
-
-
 def fingerprint(data: bytes, size: int = 3) -> int:
     """Bit b is 1 if it is set in over half of the shingles' XXH64 (seed 42); no words: zero."""
     shingles = word_shingles(data, size)
@@ -269,25 +262,24 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, size: int = 3, bits: int
     return _labelled(prints, distinct, components(link(distinct, scratch, bits), scratch), scratch)
 
 
-def shingle_sets(docs: DataFrame, distinct: DataFrame, scratch: Scratch, size: int) -> DataFrame:
-    """``node, shingles``: the hashes of the word shingles of one text for each ``fp`` of ``distinct``."""
+def distinct_texts(docs: DataFrame, distinct: DataFrame, scratch: Scratch) -> DataFrame:
+    """``node, text``: the lower-cased words of one text for each ``fp`` of ``distinct``."""
 
     def kernel():
-        def rows(ids, texts, wanted):
+        def rows(texts, wanted):
             for text, want in zip(texts, wanted):
                 node = text_id(text)
                 if want is None or node == want:
-                    yield node, np.unique(np.array([xxhash.xxh64_intdigest(s, 42) for s in word_shingles(text, size)], dtype=np.uint64)).tobytes()
+                    yield node, b" ".join(text.lower().split())
 
         return rows
 
     # of rows that share an id, those that have the text; texts that only rows without id have come last
     named = docs.join(distinct.where("low is not null").select(F.col("low").alias("doc_id"), F.col("fp").alias("want")), "doc_id")
     nameless = docs.where("doc_id is null").withColumn("want", F.lit(None).cast("long"))
-    made = (map_rows(x, ["doc_id", "text", "want"], "node long, shingles binary", kernel) for x in (named.select("doc_id", "text", "want"), nameless.select("doc_id", "text", "want")))
-    named, nameless = (scratch.write(x, "shingles") for x in made)
+    named, nameless = (map_rows(x.select("text", "want"), ["text", "want"], "node long, text binary", kernel) for x in (named, nameless))
     only = distinct.where("low is null").select(F.col("fp").alias("node"))
-    return scratch.write(named.unionAll(nameless.join(only, "node", "left_semi").dropDuplicates(["node"])), "shingles")
+    return scratch.write(named.unionAll(nameless.join(only, "node", "left_semi").dropDuplicates(["node"])), "words")
 
 
 def keep_one(docs: DataFrame, scratch: Scratch, shingle: int = 5, least: float = 0.8) -> DataFrame:
@@ -304,7 +296,7 @@ def keep_one(docs: DataFrame, scratch: Scratch, shingle: int = 5, least: float =
 
     prints = scratch.write(map_rows(texts, ["doc_id", "text"], "doc_id long, fp long", kernel), "texts")
     distinct = scratch.write(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
-    root = jaccard.joined(shingle_sets(texts, distinct, scratch, shingle), scratch, least)
+    root = jaccard.joined(distinct_texts(texts, distinct, scratch), scratch, shingle, least)
     found = _labelled(prints, distinct, root, scratch)
     doubles = found.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(doubles, "doc_id", "left_anti")
