@@ -115,3 +115,19 @@ def test_short_verdict_and_labels(spark):
 def test_task_names(spark):
     r = spark.range(1).select(*(c.alias(n) for n, c in X.task_name_semantics(F.lit("place-bottle_in_dustbin_cup")).items())).first()
     assert tuple(r) == ("place", "bottle;cup", "dustbin")
+
+
+def test_the_whole_policy_sees_order_and_phrases(spark, monkeypatch):
+    from tracklode import queries
+
+    said = [("moved", "base", "pick up the cup and then open the drawer"), ("moved", "variant_1", "open the drawer and then pick up the cup"), ("same", "base", "pick the red gizmo and lift it"), ("same", "variant_1", "pick the red gizmo and lift it"), ("other", "base", "pick the red gizmo and lift it"), ("other", "variant_1", "pick the green widget and lift it")]
+    prompts = spark.createDataFrame(said, "conv_id string, prompt_set string, text string")
+    monkeypatch.setattr(queries, "_prompts", lambda spark, sf_dir: prompts)
+    got = {r.conv_id: r for r in queries.queries()["prompt_pair_policy_full"](spark, "").collect()}
+    nouns = {r.text: set(r.n) for r in prompts.select("text", X.noun_phrases(F.col("text"), queries.PROSE.stop_words).alias("n")).collect()}
+    assert not nouns["pick the red gizmo and lift it"] & nouns["pick the green widget and lift it"] and nouns["pick the red gizmo and lift it"]
+    assert SequenceMatcher(None, said[0][2], said[1][2]).ratio() < 0.58 and got["moved"].policy != "SAME_ACTION_OK"
+    assert got["same"].policy == "SAME_ACTION_OK" and got["same"].object_overlap == 1
+    listed = {r.raw: set(r.main_objects) for r in X.prompt_semantics(prompts, "text", queries.PROSE, phrases=False).select(F.col("text").alias("raw"), "main_objects").collect()}
+    a, b = (listed[t] | nouns[t] for t in (said[4][2], said[5][2]))
+    assert got["other"].object_overlap == pytest.approx(len(a & b) / len(a | b), abs=1e-4) and got["other"].object_overlap < 1

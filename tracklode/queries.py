@@ -193,7 +193,18 @@ def _joined(c: str):
 @query(f"""WITH t AS (SELECT doc_id, trim(coalesce(text, ''), ' ') AS core FROM documents), {_semantics_sql('t', PROSE)}
 SELECT doc_id, array_to_string(v, ';') AS verbs, array_to_string(o, ';') AS objects, array_to_string(r, ';') AS targets, array_to_string(s, ';') AS spatial, family, interaction, bi AS bimanual, art AS articulated, difficulty, confidence FROM sem""")
 def prompt_semantics(spark, sf_dir):
-    rows = X.prompt_semantics(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", PROSE, phrases=False)
+    """Without noun phrases, which SQL lacks; ``prompt_semantics_full`` has them."""
+    return _semantics(spark, sf_dir, False)
+
+
+@query()
+def prompt_semantics_full(spark, sf_dir):
+    """With noun phrases among the objects, as in the policy's source."""
+    return _semantics(spark, sf_dir, True)
+
+
+def _semantics(spark, sf_dir, phrases: bool) -> DataFrame:
+    rows = X.prompt_semantics(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", PROSE, phrases=phrases)
     return rows.select("doc_id", _joined("main_verbs").alias("verbs"), _joined("main_objects").alias("objects"), _joined("receptacles_or_targets").alias("targets"), _joined("spatial_relations").alias("spatial"), F.col("task_family").alias("family"), F.col("interaction_type").alias("interaction"), F.col("bimanual_likelihood").alias("bimanual"), F.col("articulated_object_likelihood").alias("articulated"), F.col("physical_difficulty_score").alias("difficulty"), F.round("semantic_parse_confidence", 4).alias("confidence"))
 
 
@@ -240,9 +251,19 @@ SELECT conv_id, comparison, round(vo, 4) AS verb_overlap, round(oo, 4) AS object
 CASE WHEN same AND vo >= 0.75 AND oo >= 0.65 AND ro >= 0.45 AND tf >= 0.82 THEN 'SAME_ACTION_OK' WHEN ro < 0.45 AND vo >= 0.5 THEN 'TARGET_CHANGED' WHEN vo < 0.5 THEN 'VERB_CHANGED' WHEN same AND tf >= 0.62 AND oo >= 0.45 THEN 'ACTION_MAYBE_OK' ELSE 'AMBIGUOUS' END AS policy,
 round(CASE WHEN same AND vo >= 0.75 AND oo >= 0.65 AND ro >= 0.45 AND tf >= 0.82 THEN 0.82 WHEN ro < 0.45 AND vo >= 0.5 THEN least(0.9, 0.55 + 0.35 * (1 - ro)) WHEN vo < 0.5 THEN least(0.9, 0.55 + 0.35 * (1 - vo)) WHEN same AND tf >= 0.62 AND oo >= 0.45 THEN 0.62 ELSE 0.55 END, 4) AS confidence FROM z""")
 def prompt_pair_policy(spark, sf_dir):
-    """Policies without the ratio that needs Python (it counts as 1)."""
-    sem = X.prompt_semantics(_prompts(spark, sf_dir), "text", PROSE, phrases=False)
-    out = X.compare_prompts(sem, ["conv_id"], sequence=False)
+    """Policies without noun phrases and the ratio that needs Python (it counts as 1); ``prompt_pair_policy_full`` has both."""
+    return _policies(_prompts(spark, sf_dir), False)
+
+
+@query()
+def prompt_pair_policy_full(spark, sf_dir):
+    """The whole policy: objects with noun phrases, and the sequence ratio."""
+    return _policies(_prompts(spark, sf_dir), True)
+
+
+def _policies(prompts: DataFrame, whole: bool) -> DataFrame:
+    sem = X.prompt_semantics(prompts, "text", PROSE, phrases=whole)
+    out = X.compare_prompts(sem, ["conv_id"], sequence=whole)
     return out.select("conv_id", "comparison", "verb_overlap", "object_overlap", "receptacle_overlap", "tfidf", "family_changed", F.col("estimated_action_reuse_policy").alias("policy"), F.col("policy_confidence").alias("confidence"))
 
 
