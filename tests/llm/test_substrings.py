@@ -3,9 +3,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tracklode.llm import substrings
+from tracklode.llm import substrings, windows
 from tracklode.llm.common import Scratch
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -45,34 +46,72 @@ def corpus(seed, n=60):
     return [*rows, (None, rows[0][1]), (-5, None), (7, "x"), rows[3], (rows[3][0], " ".join(shared)), (8, "z " * 70)]
 
 
-@pytest.mark.parametrize("seed,window", [(0, 20), (1, 20), (2, 6), (3, 6)])
-def test_against_brute_force(spark, seed, window):
+@pytest.mark.parametrize("seed,window,most", [(0, 20, 1 << 25), (1, 20, 1 << 25), (2, 6, 0), (3, 6, 1 << 25), (0, 17, 0), (1, 20, 0), (1, 1, 0), (3, 2, 1 << 25), (3, 45, 0), (3, 45, 1 << 25)])
+def test_against_brute_force(spark, monkeypatch, seed, window, most):
+    monkeypatch.setattr(substrings, "SIEVE_MOST", most)
+    monkeypatch.setattr(substrings, "PICKED", most)
     rows = corpus(seed)
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as k", "2 as v", "'q' as spans", "3 as h").repartition(3)
     got = substrings.digests(df, Scratch(spark), window).collect()
     assert sorted(map(tuple, got), key=str) == sorted(plain(rows, window), key=str)
 
 
-def test_range_hashes_tell_equal_ranges():
-    maker = substrings.Hashes()
-    h = maker.words([b"a", b"b", b"c", b"a", b"b", b"d"])
-    at = np.array([0, 3, 1])
-    x = maker.ranges(h, at, at + 2, substrings.FIRST)
-    assert x[0] == x[1] != x[2]
-    assert list(substrings.sliding_min(np.array([5, 3, 4, 1, 2, 6]), 3)) == [3, 1, 1, 1]
-
-
-def test_word_memo_may_overflow(monkeypatch):
-    monkeypatch.setattr(substrings, "WORD_MEMO", 2)
-    maker, fresh = substrings.Hashes(), substrings.Hashes()
-    words = [b"a", b"b", b"c", b"d", b"a"]
-    for _ in range(3):
-        assert list(maker.words(words)) == list(fresh.words(words))
-
-
-def test_odd_window_raises(spark):
-    with pytest.raises(ValueError):
-        substrings.repeated_spans(spark.createDataFrame([], "doc_id long, k long, v int, text binary"), Scratch(spark), 7)
+def words_of(*texts):
+    (got,) = windows.sliced(pa.array([t.encode() for t in texts], pa.binary()))
+    return got
+
+
+def test_words_of_a_batch(monkeypatch):
+    texts = ["", " a  bb", "a", "\tbb\n", "", "é\x0bü\x0c\r", "x" * 50, "", "a bb a bb"]
+    monkeypatch.setattr(windows, "SLICE", 10)
+    found, hashes = [], {}
+    for w in windows.sliced(pa.array([None, *(t.encode() for t in texts)], pa.binary())[1:]):
+        for r in range(len(w.row_end)):
+            mine = [w.data[a:b].tobytes() for a, b in zip(w.start[w.row_start[r] : w.row_end[r]], w.end[w.row_start[r] : w.row_end[r]])]
+            found.append(mine)
+            for family in (0, 1):
+                for x, h in zip(mine, w.hashes(family)[w.row_start[r] : w.row_end[r]]):
+                    assert hashes.setdefault((family, x), h) == h
+    assert found == [WORD.findall(t.encode()) for t in texts]
+    assert len(set(hashes.values())) == len(hashes)
+
+
+def test_range_hashes_tell_equal_ranges(monkeypatch):
+    for span in (1, 4, 1 << 18):
+        monkeypatch.setattr(windows, "SPAN", span)
+        for family in (0, 1):
+            h = words_of("a b c a b d").hashes(family)
+            at = np.array([0, 3, 1])
+            x = windows.ranges(h, at, at + 2, family)
+            assert x[0] == x[1] != x[2] and h[0] == h[3] != h[1]
+    assert list(windows.sliding_min(np.array([5, 3, 4, 1, 2, 6]), 3)) == [3, 1, 1, 1]
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 5, 6, 7, 13, 20, 45, 50])
+def test_blocks_hold_each_window_once_around_its_core(window):
+    rnd = random.Random(window)
+    words = words_of(*(" ".join(rnd.choice("abcd") for _ in range(n)) for n in (0, window - 1, window, 3 * window, 0, 200, 1)))
+    lengths = substrings.lengths(window)
+    assert lengths[-1] == window and all(b in (2 * a, 2 * a - 1) for a, b in zip(lengths, lengths[1:]))
+    levels = substrings.Levels(window)
+    valid = [s for s in range(len(words.start)) if s + window <= words.row_end[words.row_of(np.array([s]))[0]]]
+    texts = [bytes(words.data[a:b]) for a, b in zip(words.start, words.end)]
+    for level, core in enumerate(levels.cores):
+        known, place, first, count = levels.parts(words, level, [None] * len(levels.cores))
+        assert sorted(s for f, c in zip(first, count) for s in range(f, f + c)) == valid
+        of_window = {}
+        for h, p, f, c in zip(known[level], place, first, count):
+            assert f + c - 1 <= p and p + core <= f + window
+            for s in range(f, f + c):
+                assert of_window.setdefault(tuple(texts[s : s + window]), (h, p - s)) == (h, p - s)
+
+
+def test_sieve_holds_what_it_was_given(spark):
+    rng = np.random.default_rng(1)
+    h = rng.integers(-(2**63), 2**63, 3000)
+    bits = substrings.sieve(spark.createDataFrame([(int(x),) for x in h], "h long").repartition(5))
+    assert bits.nbytes == 1 << 24 and substrings.in_sieve(bits, h.astype(np.uint64)).all() and np.bitwise_count(bits).sum() <= 3000
+    assert substrings.in_sieve(bits, rng.integers(0, 2**63, 3000).astype(np.uint64)).mean() < 0.01
 
 
 def test_cutting_keeps_other_texts_as_they_are(spark):
