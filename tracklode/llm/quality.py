@@ -5,8 +5,9 @@ A text's features are indicators of n-grams: words, word pairs, and runs of one
 length, and a linear hinge-loss model is fitted by dual coordinate descent. Margins of held-out folds of the fitting
 rows give a logistic curve, which turns margins into scores.
 
-Class counts cover every labelled training row; only the fit takes a bounded sample (``max_fit_rows``). Counts are
-added up by bucket before and after one shuffle; what the driver gets is bounded by the buckets and the sample.
+Class counts cover every labelled training row; only the fit takes a bounded sample (``max_fit_rows`` and
+``max_fit_features``). Counts are added up by bucket before and after one shuffle; what the driver gets is bounded by
+the buckets.
 """
 
 from __future__ import annotations
@@ -146,8 +147,15 @@ def training_labels(labels: DataFrame, label: str = "quality") -> DataFrame:
     return kept.groupBy("doc_id").agg((F.avg("y") >= 0.5).cast("int").alias("y"))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_fit_rows: int = 12_000, smoothing: float = 1.0, cost: float = 1.0) -> Model:
-    """Fits the model. Without labelled rows of both classes, all texts get the share of label 1 (0.5 if none)."""
+def train(
+    docs: DataFrame, labels: DataFrame, label: str = "quality", max_fit_rows: int = 12_000, max_fit_features: int = 24_000_000, smoothing: float = 1.0, cost: float = 1.0
+) -> Model:
+    """Fits the model. Without labelled rows of both classes, all texts get the share of label 1 (0.5 if none).
+
+    The fit takes a sample of the labelled rows by the hash of their ids: all, or the share that leaves about
+    ``max_fit_rows`` rows and ``max_fit_features`` indicators, whichever is less. It runs in one executor's task, so
+    the driver sees tables of 2**18 numbers alone.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     marked = training_labels(labels, label)
@@ -166,17 +174,19 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_fit_ro
         bucket = np.append(at, -1)
         yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(np.append(total[0, at], n[0])), pa.array(np.append(total[1, at], n[1]))], names=["bucket", "neg", "pos"])
 
-    added = rows.mapInArrow(counts, "bucket long, neg long, pos long").groupBy("bucket").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).toPandas()
-    counted = added[added.bucket >= 0]
-    n_neg, n_pos = (int(added.loc[added.bucket < 0, c].sum()) for c in ("neg", "pos"))
+    added = rows.mapInArrow(counts, "bucket long, neg long, pos long").groupBy("bucket").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).toArrow()
+    bucket, neg, pos = (added.column(c).to_numpy() for c in ("bucket", "neg", "pos"))
+    held = bucket >= 0
+    n_neg, n_pos = int(neg[~held].sum()), int(pos[~held].sum())
     if not n_neg or not n_pos:
         share = n_pos / (n_neg + n_pos) if n_neg + n_pos else 0.5
         z = 40.0 if share == 1 else -40.0 if share == 0 else 0.0
         return Model(np.zeros(SIZE), np.zeros(SIZE), 0.0, 1.0, z)
     p, q = np.full(SIZE, smoothing), np.full(SIZE, smoothing)
-    p[counted.bucket.to_numpy()] += counted.pos.to_numpy()
-    q[counted.bucket.to_numpy()] += counted.neg.to_numpy()
+    p[bucket[held]] += pos[held]
+    q[bucket[held]] += neg[held]
     ratio = np.log((p / p.sum()) / (q / q.sum()))
+    features_in_all = int(neg[held].sum() + pos[held].sum())
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
@@ -184,21 +194,34 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_fit_ro
             got = [grams(t).astype(np.int32).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(got, pa.binary())], names=["doc_id", "y", "buckets"])
 
-    share = min(1.0, max_fit_rows / (n_neg + n_pos))
-    sampled = rows if share == 1 else rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    table = sampled.mapInArrow(features, "doc_id long, y int, buckets binary").toArrow().sort_by("doc_id")
-    y = np.where(np.array(table["y"].to_pylist(), dtype=np.int64) == 1, 1.0, -1.0)
-    at = [np.frombuffer(b, np.int32) for b in table["buckets"].to_pylist()]
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = sorted((x for b in batches for x in zip(*(b.column(k).to_pylist() for k in range(3)))), key=lambda x: (x[0], x[2], x[1]))
+        model = fit_rows([np.frombuffer(x, np.int32) for _, _, x in got], np.array([y for _, y, _ in got], np.int64), ratio, cost)
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (model.scaled, model.square, np.array([model.bias, model.slope, model.offset]))], names=["scaled", "square", "rest"])
+
+    share = min(1.0, max_fit_rows / (n_neg + n_pos), max_fit_features / max(1, features_in_all))
+    sampled = rows if share == 1 else rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < max(1, int(share * 1_000_000)))
+    made = sampled.mapInArrow(features, "doc_id long, y int, buckets binary").repartition(1).mapInArrow(fit, "scaled binary, square binary, rest binary").toArrow()
+    scaled, square, rest = (np.frombuffer(made.column(c)[0].as_py(), np.float64) for c in ("scaled", "square", "rest"))
+    return Model(scaled, square, *map(float, rest))
+
+
+def fit_rows(at: list[np.ndarray], label: np.ndarray, ratio: np.ndarray, cost: float) -> Model:
+    """The model of rows given as distinct buckets, in the order given, with labels 0 or 1.
+
+    Each class has the same total cost. Three folds give the margins that the logistic curve goes through.
+    """
+    y = np.where(label == 1, 1.0, -1.0)
     values = [ratio[b] / max(1e-12, np.sqrt((ratio[b] ** 2).sum())) for b in at]
     weight = np.where(y > 0, cost * len(y) / (2 * max(1, (y > 0).sum())), cost * len(y) / (2 * max(1, (y < 0).sum())))
     fold, margin = np.arange(len(y)) % 3, np.zeros(len(y))
     for k in range(3):
         take = np.nonzero(fold != k)[0]
-        w = fit_hinge([at[i] for i in take], [values[i] for i in take], y[take], weight[take], SIZE)
+        w = fit_hinge([at[i] for i in take], [values[i] for i in take], y[take], weight[take], len(ratio))
         for i in np.nonzero(fold == k)[0]:
             margin[i] = w[at[i]] @ values[i] + w[-1]
     slope, offset = fit_curve(margin, y)
-    w = fit_hinge(at, values, y, weight, SIZE)
+    w = fit_hinge(at, values, y, weight, len(ratio))
     return Model(w[:-1] * ratio, ratio**2, float(w[-1]), slope, offset)
 
 
