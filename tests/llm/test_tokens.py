@@ -108,3 +108,23 @@ def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert tokens.count_tokens(none, public.path("byte_bpe_50k.json")).count() == 0
     assert tokens.digests(none, public.path("byte_bpe_50k.tiktoken")).count() == 0
+
+
+def test_neighbours_fit_as_merging_says(ranks):
+    rnd = random.Random(5)
+    common = [t for text in odd_texts(200, 6) for t in ranks.encode(text)]
+    for _ in range(20_000):
+        a, b = (rnd.choice(common) if rnd.random() < 0.3 else rnd.randrange(len(ranks.tokens)) if rnd.random() < 0.5 else rnd.randrange(3000) for _ in range(2))
+        assert ranks.fits(a, b) == (ranks.merge(ranks.tokens[a] + ranks.tokens[b]) == [a, b]), (ranks.tokens[a], ranks.tokens[b])
+
+
+@pytest.mark.parametrize("text", [" " * 100_000, "a" + "\n " * 30_000 + "b", "x <|endoftext|>" * 3000, "　" * 20_000 + "z", "y" * 50_000 + "<|endoftext|>" * 20])
+def test_prefix_counts_take_linear_time(other, text):
+    import time
+
+    v = bpe.vocabulary(public.path("byte_bpe_50k.json"))
+    began = time.thread_time()
+    counts = v.prefix_counts(text)
+    assert time.thread_time() - began < 10 and len(counts) == len(text) + 1
+    for n in (1, 2, 17, len(text) // 2, len(text) - 1, len(text)):
+        assert counts[n] == len(other.encode(text[:n], add_special_tokens=False))

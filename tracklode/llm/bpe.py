@@ -9,7 +9,7 @@ from __future__ import annotations
 import base64
 import json
 from collections.abc import Callable
-from itertools import chain
+from itertools import accumulate, chain
 from typing import Any
 
 import ahocorasick
@@ -80,11 +80,13 @@ class Vocabulary:
         self.back = [len(t) - 1 for t in tokens]
         self.shorter: list[int | None] = [None] * len(tokens)
         self.pairs: dict[int, bool] = {}
+        self.halves: list[tuple[int, int] | None | bool] = [False] * len(tokens)
+        self.blank = regex.compile(r"\s+")
         self.pieces = Memo(lambda piece: tuple(self.encode_piece(piece.encode())))
-        self.words = Memo(lambda word: self.word(word, self.pieces))
+        self.words = Memo(self.word)
         self.tables = Memo(self.make_table)
-        self.piece_counts = Memo(lambda piece: self.tables[piece][-1])
-        self.word_counts = Memo(lambda word: sum(map(self.piece_counts.__getitem__, self.word_pieces(word))))
+        self.piece_counts = Memo(lambda piece: self.make_table(piece)[-1])
+        self.word_counts = Memo(self.word_count)
 
     def word_pieces(self, word: str) -> list[str]:
         """Pieces of a word and the one space before it. No piece crosses such a space from the left."""
@@ -92,8 +94,15 @@ class Vocabulary:
             raise NotOneWord
         return self.split.findall(" " + word)
 
-    def word(self, word: str, memo: Memo) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(map(memo.__getitem__, self.word_pieces(word))))
+    def word(self, word: str) -> tuple[int, ...]:
+        if word.isascii() and word.isalpha():  # one piece
+            return tuple(self.encode_piece(b" " + word.encode()))
+        return tuple(chain.from_iterable(map(self.pieces.__getitem__, self.word_pieces(word))))
+
+    def word_count(self, word: str) -> int:
+        if word.isascii() and word.isalpha():
+            return self.make_table(" " + word)[-1]
+        return sum(map(self.piece_counts.__getitem__, self.word_pieces(word)))
 
     # -- adjacent tokens ------------------------------------------------------------------------------
 
@@ -115,9 +124,48 @@ class Vocabulary:
         if known is None:
             if len(self.pairs) >= 2 * MEMO:
                 self.pairs.clear()
-            known = self.pairs[key] = self.merge(self.tokens[a] + self.tokens[b]) == [a, b]
+            known = self.pairs[key] = self.fits(a, b)
+        return known
+
+    def split_token(self, t: int) -> tuple[int, int] | None:
+        """The two tokens whose merge made ``t``; none for single bytes and for tokens that merges do not make."""
+        known = self.halves[t]
+        if known is False:
+            data, known = self.tokens[t], None
+            parts = [data[i : i + 1] for i in range(len(data))]
+            while len(parts) > 2:
+                ranks = [self.rank.get(a + b, t) for a, b in zip(parts, parts[1:])]
+                low = min(ranks)
+                if low >= t:
+                    break
+                at = ranks.index(low)
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            if len(parts) == 2:
+                known = self.rank[parts[0]], self.rank[parts[1]]
+            self.halves[t] = known
         return known
 
+    def fits(self, a: int, b: int) -> bool:
+        """Whether no merge crosses from ``a`` to ``b``, found by undoing the merges next to the border, the last one first.
+
+        Between two undone merges the tokens at the border were those now at hand; had their own merge come before
+        the merge undone last, it would have been made. At equal ranks what stands further left is merged first.
+        """
+        tokens, rank, limit = self.tokens, self.rank, len(self.tokens)
+        x, y = a, b
+        if (len(tokens[a]) > 1 and self.split_token(a) is None) or (len(tokens[b]) > 1 and self.split_token(b) is None):
+            return self.merge(tokens[a] + tokens[b]) == [a, b]
+        while True:
+            if rank.get(tokens[x] + tokens[y], limit) < limit:
+                return False
+            left, right = self.split_token(x), self.split_token(y)
+            if left and (x > y or not right):
+                limit, x = x, left[1]
+            elif right:
+                limit, y = y + 1, right[0]
+            else:
+                return True
+
     def prefix_token(self, t: int) -> int:
         """The longest token that begins ``t`` and is shorter; -1 if there is none."""
         known = self.shorter[t]
@@ -175,14 +223,19 @@ class Vocabulary:
         The last token of a prefix is the one token at its end that fits the last token of what stands
         before it; so each count is one more than a count further left.
         """
-        data, size, n = piece.encode(), self.size, len(piece.encode())
+        data, size, pairs, width = piece.encode(), self.size, self.pairs, len(self.tokens)
+        n = len(data)
         counts, last = [0] * (n + 1), [-1] * (n + 1)
         for end, t in self.find.iter(data.decode("latin-1")):
             end += 1
             if last[end] < 0:
                 start = end - size[t]
-                if not start or self.adjoin(last[start], t):
-                    last[end], counts[end] = t, counts[start] + 1
+                if start:
+                    before = last[start]
+                    ok = pairs.get(before * width + t)
+                    if not (self.adjoin(before, t) if ok is None else ok):
+                        continue
+                last[end], counts[end] = t, counts[start] + 1
         return tuple(counts[1:])
 
     def runs(self, text: str) -> list[str]:
@@ -217,40 +270,50 @@ class Vocabulary:
             base = self._run_counts(run, base, out)
             if mark:
                 stop = mark.end()
-                head = text[at : mark.start()]
+                cut = at + self.last_cut(run)  # what stands before is split as it is, whatever follows
+                head = self._plain(text[cut : mark.start()])
                 for end in range(mark.start() + 1, stop):
-                    out.append(base - self._plain(head) + self._plain(text[at:end]))
+                    out.append(base - head + self._plain(text[cut:end]))
                 base += 1
                 out.append(base)
                 at = stop
         return out
 
+    @staticmethod
+    def last_cut(run: str) -> int:
+        """Place of the last space between two others that are no white space; 0 if there is none."""
+        at = len(run) - 1
+        while (at := run.rfind(" ", 1, at)) > 0:
+            if not run[at - 1].isspace() and not run[at + 1].isspace():
+                return at
+        return 0
+
     def _run_counts(self, run: str, base: int, out: list[int]) -> int:
-        blank = None  # where the white space before the present piece began, and the count up to there
+        # a prefix that ends in white space has all of that in one piece: its beginning, the count up to there, the
+        # table of the whole, and where each of its characters ends in bytes
+        begin = stop = -1
         for m in self.split.finditer(run):
             piece = m[0]
-            if piece.isspace():
-                # pieces of one run of white space: a prefix ending here has all of it in one piece
-                if blank is None or blank[2] != m.start():
-                    blank = (m.start(), base, m.end())
-                else:
-                    blank = (blank[0], blank[1], m.end())
-                for end in range(m.start() + 1, m.end() + 1):
-                    out.append(blank[1] + self._plain(run[blank[0] : end]))
+            white = self.blank.match(run, m.start())
+            if white and not begin <= m.start() < stop:
+                begin, stop, before = m.start(), white.end(), base
+                table_of_white, widths = self.tables[white[0]], list(accumulate(len(c.encode()) for c in white[0]))
+            if white and white.end() >= m.end():
+                for end in range(m.start(), m.end()):
+                    out.append(before + table_of_white[widths[end - begin] - 1])
                 base += self.piece_counts[piece]
                 continue
             table, width = self.tables[piece], 0
             quote = piece[0] == "'" and len(piece) > 1 and piece[1].isalpha()
             for k, c in enumerate(piece, 1):
                 width += len(c.encode())
-                if k == 1 and c == " " and blank is not None and blank[2] == m.start():
-                    out.append(blank[1] + self._plain(run[blank[0] : m.start() + 1]))
+                if k == 1 and white:
+                    out.append(before + table_of_white[widths[m.start() - begin] - 1])
                 elif quote and 1 < k < len(piece):
                     out.append(base + self._plain(piece[:k]))
                 else:
                     out.append(base + table[width - 1])
             base += table[-1]
-            blank = None
         return base
 
     def longest_within(self, text: str, budget: int) -> int:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -12,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of a batch that a Python worker holds at once; long texts make rows of 100 kB and more.
-ARROW_ROWS = 1024
+#: Rows and bytes of a batch that a Python worker holds at once; long texts make rows of 100 kB and more.
+ARROW_ROWS, ARROW_BYTES = 1024, 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -68,11 +69,12 @@ def delete(spark: SparkSession, path: str | None) -> None:
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Caps the rows of an Arrow batch, so that long texts fit a Python worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) > rows:
-        spark.conf.set(key, str(rows))
+def small_batches(spark: SparkSession) -> None:
+    """Caps rows and bytes of the session's Arrow batches, so that long texts fit a Python worker. Smaller caps stay."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)):
+        now = re.fullmatch(r"(-?\d+)b?", spark.conf.get(key))
+        if not now or not 0 < int(now[1]) <= most:
+            spark.conf.set(key, str(most))
 
 
 def map_rows(df: DataFrame, columns: list[str], schema: str, kernel: Callable[[], Callable[..., Iterable[tuple]]]) -> DataFrame:
@@ -87,11 +89,17 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, kernel: Callable[[]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow, apply = to_arrow_schema(target), kernel()
-        for batch in batches:
-            rows = list(apply(*(batch.column(i).to_pylist() for i in range(len(columns)))))
-            cols = list(zip(*rows)) if rows else [[] for _ in names]
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, arrow)], schema=arrow)
+        # memos of millions of tuples hold no cycles, and scans of them take most of the time
+        arrow, apply, collected = to_arrow_schema(target), kernel(), gc.isenabled()
+        gc.disable()
+        try:
+            for batch in batches:
+                rows = list(apply(*(batch.column(i).to_pylist() for i in range(len(columns)))))
+                cols = list(zip(*rows)) if rows else [[] for _ in names]
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, arrow)], schema=arrow)
+        finally:
+            if collected:
+                gc.enable()
 
     return df.select(*columns).mapInArrow(run, schema)
 

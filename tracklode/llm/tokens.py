@@ -7,7 +7,6 @@ each operator selects what it reads by name and returns its own columns.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 
 from pyspark.sql import DataFrame
@@ -29,7 +28,6 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, limit: int = 1024, id_co
     """
 
     def kernel():
-        gc.disable()  # memos of millions of tuples hold no cycles, and scans of them take most of the time
         v = vocabulary(vocabulary_path)
 
         def rows(ids, texts):
@@ -67,7 +65,6 @@ def encode(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_c
     """``doc_id, ids`` of every whole text as ordinary text, exactly as merging by rank would give them."""
 
     def kernel():
-        gc.disable()
         v = vocabulary(vocabulary_path)
         return lambda ids, texts: ((i, v.encode(t)) for i, t in zip(ids, texts))
 
@@ -89,7 +86,6 @@ def digests(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_
     """Encodes and decodes in one pass and returns digests of both: ``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
 
     def kernel():
-        gc.disable()
         v = vocabulary(vocabulary_path)
 
         def rows(ids, texts):
