@@ -26,14 +26,21 @@ ROBOT_VERBS = {
     "strike": ["strike", "hit", "hammer"],
     "hide": ["hide", "store"],
 }
-ROBOT_OBJECTS = """bottle; can; block; cube; bowl; tray; basket; bin; dustbin; container; bucket; box; hamburg; hamburger; fries;
-pack; card; playing cards; microwave; fridge; cabinet; drawer; door; laptop; alarm-clock; alarm clock; button; bell; calendar;
-stopwatch; stapler; pen; marker; hammer; tool; scissors; cup; mug; plate; ball; cylinder; rod; rope; hook; qrcode; qr code; phone;
-remote; book; folder; shelf; table; counter; container; object; item; cap; handle; knob; switch; panel; lid; bag; basket; basketball"""
-ROBOT_RECEPTACLES = """bin; dustbin; basket; container; tray; bucket; box; cabinet; drawer; fridge; microwave; laptop; shelf; table;
-counter; plate; holder; corner; wall; surface; desk; floor; basket; blue container; red bin"""
-ROBOT_SPATIAL = """left; right; center; middle; corner; edge; top; under; beneath; behind; front; inside; into; onto; on top; beside;
-near; far; towards; away; across; above; below; between; against; around"""
+ROBOT_OBJECTS = [
+    "bottle", "can", "block", "cube", "bowl", "tray", "basket", "bin", "dustbin", "container", "bucket", "box", "hamburg", "hamburger", "fries",
+    "pack", "card", "playing cards", "microwave", "fridge", "cabinet", "drawer", "door", "laptop", "alarm-clock", "alarm clock", "button", "bell",
+    "calendar", "stopwatch", "stapler", "pen", "marker", "hammer", "tool", "scissors", "cup", "mug", "plate", "ball", "cylinder", "rod", "rope",
+    "hook", "qrcode", "qr code", "phone", "remote", "book", "folder", "shelf", "table", "counter", "container", "object", "item", "cap", "handle",
+    "knob", "switch", "panel", "lid", "bag", "basket", "basketball",
+]
+ROBOT_RECEPTACLES = [
+    "bin", "dustbin", "basket", "container", "tray", "bucket", "box", "cabinet", "drawer", "fridge", "microwave", "laptop", "shelf", "table",
+    "counter", "plate", "holder", "corner", "wall", "surface", "desk", "floor", "basket", "blue container", "red bin",
+]
+ROBOT_SPATIAL = [
+    "left", "right", "center", "middle", "corner", "edge", "top", "under", "beneath", "behind", "front", "inside", "into", "onto", "on top",
+    "beside", "near", "far", "towards", "away", "across", "above", "below", "between", "against", "around",
+]
 ROBOT_FAMILIES = (
     ("scanning_qrcode", ["qrcode", "qr code", "scan"]),
     ("button_press_click", ["press", "push", "click", "button", "bell", "activate", "tap"]),
@@ -58,7 +65,10 @@ ROBOT_INTERACTIONS = (
     ("tool_use", ["hammer", "strike", "hit", "tool"]),
     ("rotation", ["rotate", "turn", "twist"]),
 )
-STOP_WORDS = "the; a; an; with; using; use; arms; arm; left; right; both; then; and; to; it; them; this; that; from; for; of; by"
+STOP_WORDS = [
+    "the", "a", "an", "with", "using", "use", "arms", "arm", "left", "right", "both", "then", "and", "to", "it", "them", "this", "that", "from",
+    "for", "of", "by",
+]
 QUOTAS = {
     "pick_place": 180, "object_to_container": 170, "button_press_click": 150, "articulated_open_close": 130, "tool_use": 120,
     "stacking": 120, "lifting": 100, "scanning_qrcode": 80, "shaking": 70, "rotation_orientation": 70, "dumping_pouring": 60,
@@ -66,12 +76,13 @@ QUOTAS = {
 }
 
 
-def words(listed: str) -> list[str]:
-    return [" ".join(w.split()) for w in listed.split(";")]
-
-
-OBJECT_HINTS = "basket; bottle; bottles; block; blocks; bowl; bowls; cup; microwave; laptop; qrcode; stapler; bell; pot; mug; hammer; roller; can; cans; plate; phone; shoe; object"
-TARGET_HINTS = "basket; bin; bigbin; cabinet; plate; stand; pad; dustbin; box"
+OBJECT_HINTS = [
+    "basket", "bottle", "bottles", "block", "blocks", "bowl", "bowls", "cup", "microwave", "laptop", "qrcode", "stapler", "bell", "pot", "mug",
+    "hammer", "roller", "can", "cans", "plate", "phone", "shoe", "object",
+]
+TARGET_HINTS = [
+    "basket", "bin", "bigbin", "cabinet", "plate", "stand", "pad", "dustbin", "box",
+]
 
 
 @dataclass(frozen=True)
@@ -82,7 +93,7 @@ class Lexicon:
     spatial: list[str]
     families: tuple[tuple[str, list[str]], ...]
     interactions: tuple[tuple[str, list[str]], ...]
-    stop_words: list[str] = field(default_factory=lambda: words(STOP_WORDS))
+    stop_words: list[str] = field(default_factory=lambda: list(STOP_WORDS))
     both_hands: tuple[str, ...] = ("both arms", "using both", "two arms")
     each_hand: tuple[str, ...] = ("left arm", "right arm")
     other_hand: tuple[str, ...] = ("another arm", "other arm")
@@ -90,7 +101,7 @@ class Lexicon:
     hinging: tuple[str, ...] = ("open", "close")
 
 
-ROBOT = Lexicon(ROBOT_VERBS, words(ROBOT_OBJECTS), words(ROBOT_RECEPTACLES), words(ROBOT_SPATIAL), ROBOT_FAMILIES, ROBOT_INTERACTIONS)
+ROBOT = Lexicon(ROBOT_VERBS, ROBOT_OBJECTS, ROBOT_RECEPTACLES, ROBOT_SPATIAL, ROBOT_FAMILIES, ROBOT_INTERACTIONS)
 PROSE = Lexicon(
     {"be": ["was", "is", "are"], "have": ["has", "have", "had"], "do": ["do", "does"]},
     ["and", "that", "this", "with"],

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracklode.functions.expr import clamp, col, first_match, items, jaccard, joined, number, unique_in_order
-from tracklode.functions.lexicon import OBJECT_HINTS, PREFIXES, ROBOT, TARGET_HINTS, Lexicon, words
+from tracklode.functions.lexicon import OBJECT_HINTS, PREFIXES, ROBOT, TARGET_HINTS, Lexicon
 
 # ---- single prompts -------------------------------------------------------------------------------------
 
@@ -28,21 +28,49 @@ def word_pattern(alternatives: list[str]) -> str:
     return r"(^|[^\p{L}\p{N}_])(" + "|".join(map(re.escape, alternatives)) + r")([^\p{L}\p{N}_]|$)"
 
 
-def found_aliases(text: Column, aliases: dict[str, list[str]]) -> Column:
-    """Canonical words one of whose aliases occurs, in the order of the table."""
-    return F.array_compact(F.array(*(F.when(F.rlike(text, F.lit(word_pattern(a))), F.lit(name)) for name, a in aliases.items())))
+def words_of(text: Column) -> Column:
+    """The distinct words of a text: runs of letters, digits and underscores of any script."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(r"([\p{L}\p{N}_]+)"), 1))
 
 
-def found_keywords(text: Column, keywords: list[str], most: int | None = None) -> Column:
-    out = found_aliases(text, {k.lower(): [k.lower()] for k in dict.fromkeys(keywords)})
+def found_aliases(text: Column, aliases: dict[str, list[str]], found: Column | None = None) -> Column:
+    """Canonical words one of whose aliases occurs, in the order of the table.
+
+    Aliases of one word are looked up among the text's words (``found``, if they are at hand), all by one intersection;
+    only phrases take a pattern each.
+    """
+    found = words_of(text) if found is None else found
+    single = {n: [a for a in many if re.fullmatch(r"\w+", a)] for n, many in aliases.items()}
+    phrases = {n: [a for a in many if a not in single[n]] for n, many in aliases.items()}
+    known = list(dict.fromkeys(a for many in single.values() for a in many))
+    # the words of the table that occur, then the names that they or phrases stand for
+    hits = F.array_intersect(F.array(*map(F.lit, known)), found) if known else F.array().cast("array<string>")
+
+    def named(hit: Column) -> Column:
+        def one(name: str) -> Column:
+            tests = ([F.arrays_overlap(hit, F.array(*map(F.lit, single[name])))] if single[name] else []) + ([F.rlike(text, F.lit(word_pattern(phrases[name])))] if phrases[name] else [])
+            return F.when(tests[0] | tests[1] if len(tests) > 1 else tests[0], F.lit(name))
+
+        return F.array_compact(F.array(*map(one, aliases)))
+
+    if not any(phrases.values()) and all(many == [name] for name, many in aliases.items()):
+        return hits  # names are their own aliases
+    return F.transform(F.array(hits), named)[0]  # a variable of the lambda, so that the intersection is made once
+
+
+def found_keywords(text: Column, keywords: list[str], most: int | None = None, found: Column | None = None) -> Column:
+    out = found_aliases(text, {k.lower(): [k.lower()] for k in dict.fromkeys(keywords)}, found)
     return F.slice(out, 1, most) if most else out
 
 
+# Fixed value: what a noun phrase begins and ends at.
+NOUN_PHRASE = r"\b(?:the|a|an)\s+([a-z0-9\- ]{2,80}?)(?=\s+(?:with|using|by|into|in|on|under|beneath|behind|beside|near|from|to|and|then|,|\.|$))"
+
+
 def noun_phrases(text: Column, stop_words: list[str]) -> Column:
     """Phrases after an article up to a preposition, conjunction or full stop: the last four words that carry meaning."""
-    pattern = r"\b(?:the|a|an)\s+([a-z0-9\- ]{2,80}?)(?=\s+(?:with|using|by|into|in|on|under|beneath|behind|beside|near|from|to|and|then|,|\.|$))"
     stops = F.array(*map(F.lit, stop_words))
-    raw = F.regexp_extract_all(F.lower(text), F.lit(pattern), 1)
+    raw = F.regexp_extract_all(F.lower(text), F.lit(NOUN_PHRASE), 1)
     kept = F.transform(raw, lambda p: F.filter(F.split(F.trim(p), r"\s+"), lambda w: (w != "") & ~F.array_contains(stops, w)))
     last = F.transform(F.filter(kept, lambda t: F.size(t) > 0), lambda t: F.array_join(F.slice(t, -F.least(F.size(t), F.lit(4)), 4), " "))
     return unique_in_order(last)
@@ -101,13 +129,14 @@ def prompt_semantics(prompts: DataFrame, text: str = "raw_prompt", lexicon: Lexi
     base = prompts.withColumn("prefix_removed_prompt", core_text(text))
     core = F.col("prefix_removed_prompt")
     low = F.lower(core)
+    base, found = base.withColumn("__words", words_of(low)), F.col("__words")
     nouns = noun_phrases(core, lexicon.stop_words) if phrases else F.array().cast("array<string>")
     base = base.withColumns({
-        "main_verbs": found_aliases(low, lexicon.verbs),
-        "main_objects": F.slice(F.array_distinct(F.concat(found_keywords(low, lexicon.objects), nouns)), 1, 20),
-        "receptacles_or_targets": found_keywords(low, lexicon.receptacles, 15),
-        "spatial_relations": found_keywords(low, lexicon.spatial, 15),
-    })
+        "main_verbs": found_aliases(low, lexicon.verbs, found),
+        "main_objects": F.slice(F.array_distinct(F.concat(found_keywords(low, lexicon.objects, found=found), nouns)), 1, 20),
+        "receptacles_or_targets": found_keywords(low, lexicon.receptacles, 15, found),
+        "spatial_relations": found_keywords(low, lexicon.spatial, 15, found),
+    }).drop("__words")
     v, o, s = F.col("main_verbs"), F.col("main_objects"), F.col("spatial_relations")
     base = base.withColumns({
         "task_family": task_family(core, v, o, lexicon.families),
@@ -124,7 +153,7 @@ def prompt_semantics(prompts: DataFrame, text: str = "raw_prompt", lexicon: Lexi
 def task_name_semantics(name: Column | str) -> dict[str, Column]:
     """Sorted verbs (the first token), objects and targets of a task's name."""
     tokens = F.filter(F.split(F.replace(col(name), F.lit("-"), F.lit("_")), "_"), lambda t: t != "")
-    pick = lambda hints: joined(F.array_sort(F.array_intersect(tokens, F.array(*map(F.lit, words(hints))))))
+    pick = lambda hints: joined(F.array_sort(F.array_intersect(tokens, F.array(*map(F.lit, hints)))))
     return {"verbs": F.coalesce(F.try_element_at(tokens, F.lit(1)), F.lit("")), "objects": pick(OBJECT_HINTS), "targets": pick(TARGET_HINTS)}
 
 
@@ -217,12 +246,31 @@ def compare_prompts(semantics: DataFrame, keys: list[str], variants: tuple[str,
 
 # Keys and labels of a model's verdict.
 DECISIONS = ["PASS", "WARN_KEEP", "REJECT", "DPO_LOSER_CANDIDATE", "NEED_HUMAN_REVIEW"]
-SCORES = words("""domain_match; robot_visibility; gripper_contact_visibility; object_visibility; physical_plausibility; temporal_consistency;
-visual_quality; task_relevance; sft_positive_suitability; a2v_positive_suitability; dpo_loser_suitability""")
-FLAGS = words("""arm_partially_out_of_frame_but_ok; critical_contact_invisible; object_moves_without_contact; severe_flicker_or_exposure_jump;
-severe_noise_or_compression; wrong_robot_or_missing_robot; prompt_action_mismatch; possible_left_right_swap""")
-USES = words("use_for_sft; use_for_a2v; use_for_dpo_winner; use_for_dpo_loser")
-SHORT_SCORES = words("vlm_domain_score; vlm_task_progress_score; vlm_physics_score; vlm_semantic_consistency_score")
+SCORES = [
+    "domain_match",
+    "robot_visibility",
+    "gripper_contact_visibility",
+    "object_visibility",
+    "physical_plausibility",
+    "temporal_consistency",
+    "visual_quality",
+    "task_relevance",
+    "sft_positive_suitability",
+    "a2v_positive_suitability",
+    "dpo_loser_suitability",
+]
+FLAGS = [
+    "arm_partially_out_of_frame_but_ok",
+    "critical_contact_invisible",
+    "object_moves_without_contact",
+    "severe_flicker_or_exposure_jump",
+    "severe_noise_or_compression",
+    "wrong_robot_or_missing_robot",
+    "prompt_action_mismatch",
+    "possible_left_right_swap",
+]
+USES = ["use_for_sft", "use_for_a2v", "use_for_dpo_winner", "use_for_dpo_loser"]
+SHORT_SCORES = ["vlm_domain_score", "vlm_task_progress_score", "vlm_physics_score", "vlm_semantic_consistency_score"]
 
 
 def loose_json(c: Column | str) -> Column:
@@ -231,12 +279,20 @@ def loose_json(c: Column | str) -> Column:
     return F.when(F.try_parse_json(c).isNotNull(), c).otherwise(F.regexp_extract(c, r"(?s)\{.*\}", 0))
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value as a lambda's variable, so that it is computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def verdict(c: Column | str, scores: list[str] = SCORES, flags: list[str] = FLAGS, uses: list[str] = USES) -> Column:
     """A model's verdict as a struct: unknown decisions become NEED_HUMAN_REVIEW, confidences lie in 0..1, scores in 0..2 (1 where
-    missing), flags and uses are booleans, evidence has at most six pieces of 240 characters."""
+    missing), flags and uses are booleans, evidence has at most six pieces of 240 characters. The text is parsed once."""
     block = lambda names: "struct<" + ",".join(f"{n}:string" for n in names) + ">"
     form = f"overall_decision string, confidence string, scores {block(scores)}, flags {block(flags)}, evidence array<string>, recommended_use {block(uses)}"
-    raw = F.from_json(loose_json(c), form)
+    return once(F.from_json(loose_json(c), form), lambda raw: _verdict(raw, scores, flags, uses))
+
+
+def _verdict(raw: Column, scores: list[str], flags: list[str], uses: list[str]) -> Column:
     decision = F.upper(F.trim(F.coalesce(raw["overall_decision"], F.lit(""))))
     whole = lambda n: F.coalesce(number(raw["scores"][n]).try_cast("int"), F.lit(1))
     yes = lambda x: F.coalesce(F.lower(x) == "true", F.lit(False))
@@ -254,7 +310,10 @@ def verdict(c: Column | str, scores: list[str] = SCORES, flags: list[str] = FLAG
 def short_verdict(c: Column | str) -> Column:
     """The verdict of a single-pass check: decision (WARN if unknown), confidence, four scores, evidence as one text."""
     form = "vlm_decision string, decision string, confidence string, evidence array<string>, " + ", ".join(f"{n} string" for n in SHORT_SCORES)
-    raw = F.from_json(loose_json(c), form)
+    return once(F.from_json(loose_json(c), form), _short_verdict)
+
+
+def _short_verdict(raw: Column) -> Column:
     status = F.upper(F.coalesce(F.nullif(raw["vlm_decision"], F.lit("")), F.nullif(raw["decision"], F.lit("")), F.lit("WARN")))
     pieces = F.slice(F.transform(F.coalesce(raw["evidence"], F.array().cast("array<string>")), lambda x: F.substring(x, 1, 220)), 1, 6)
     return F.struct(

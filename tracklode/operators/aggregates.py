@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracklode.functions.expr import col, finite, items, rounded
+from tracklode.operators.quantiles import quantile_row
 
 
 def most_common(df: DataFrame, column: str, by: list[str] | None = None, top: int | None = None) -> DataFrame:
@@ -27,6 +28,11 @@ def array_counts(df: DataFrame, column: Column | str, top: int | None = None) ->
     return most_common(df.select(F.explode(col(column)).alias("token")), "token", top=top)
 
 
+def evidence_counts(df: DataFrame, decision: str, evidence: str, decisions: tuple[str, ...] = ("REJECT", "DPO_LOSER_CANDIDATE"), top: int = 12) -> DataFrame:
+    """Most frequent of the first two pieces of evidence of rows with one of the decisions."""
+    return token_counts(df.where(F.col(decision).isin(*decisions)), evidence, r"\|", top=top, first=2)
+
+
 def fixed_counts(df: DataFrame, column: str, values: list[str]) -> DataFrame:
     """Counts of given values in their order, with zeros for those that do not occur."""
     dim = df.sparkSession.createDataFrame([(i, v) for i, v in enumerate(values)], "place int, value string")
@@ -35,13 +41,14 @@ def fixed_counts(df: DataFrame, column: str, values: list[str]) -> DataFrame:
 
 
 def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Mean, median, 95th percentile and maximum of each column's finite numbers, a row a column, from one pass."""
+    """Mean, median, 95th percentile and maximum of each column's finite numbers, a row a column."""
     def one(c: str) -> list[Column]:
         v = finite(c)
-        return [F.avg(v).alias(f"{c}_0"), F.percentile(v, F.array(F.lit(0.5), F.lit(0.95))).alias(f"{c}_1"), F.max(v).alias(f"{c}_2")]
+        return [F.avg(v).alias(f"{c}_0"), F.max(v).alias(f"{c}_2")]
 
-    wide = df.agg(*(x for c in columns for x in one(c)))
-    rows = F.array(*(F.struct(F.lit(c).alias("metric"), F.col(f"{c}_0").alias("mean"), F.col(f"{c}_1")[0].alias("p50"), F.col(f"{c}_1")[1].alias("p95"), F.col(f"{c}_2").cast("double").alias("max")) for c in columns))
+    middle = quantile_row(df, {f"{c}_{q}": (finite(c), q / 100) for c in columns for q in (50, 95)})
+    wide = df.agg(*(x for c in columns for x in one(c))).crossJoin(F.broadcast(middle))
+    rows = F.array(*(F.struct(F.lit(c).alias("metric"), F.col(f"{c}_0").alias("mean"), F.col(f"{c}_50").alias("p50"), F.col(f"{c}_95").alias("p95"), F.col(f"{c}_2").cast("double").alias("max")) for c in columns))
     return wide.select(F.inline(rows)).select("metric", *(rounded(c).alias(c) for c in ("mean", "p50", "p95", "max")))
 
 
@@ -81,7 +88,15 @@ def embodiment_ranking(df: DataFrame, key: str, success: str, exportable: str, d
     return df.groupBy(key).agg(rounded(score).alias("score")).orderBy(F.desc("score"), key)
 
 
+def selected_embodiment(ranking: DataFrame, key: str, default: str) -> DataFrame:
+    """One row ``key, score, reason``: the best robot of a ranking, or the default if there is none."""
+    best = ranking.agg(F.max_by(F.struct(key, "score"), F.struct(F.col("score"), F.reverse(F.col(key)))).alias("b"))
+    found = F.col("b").isNotNull()
+    return best.select(F.coalesce(f"b.{key}", F.lit(default)).alias(key), F.col("b.score").alias("score"), F.when(found, "best score").otherwise("no successful trial, default").alias("reason"))
+
+
 def robust_max(value: Column | str, share: float | None = None) -> Column:
+    """Aggregate of one group: the largest finite value, or the one at a share of all; 0 without values."""
     v = finite(value)
     return F.coalesce(F.percentile(v, share) if share is not None else F.max(v), F.lit(0.0))
 

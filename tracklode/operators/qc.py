@@ -215,6 +215,13 @@ def update_by_key(table: DataFrame, updates: DataFrame, key: str, column: str) -
     return table.join(new, key, "left").withColumn(column, F.coalesce("__new", column)).drop("__new")
 
 
+def attach_by_index(table: DataFrame, scores: DataFrame, index: str, fields: list[str]) -> DataFrame:
+    """The table with the fields of the scores at the same index; fields that the scores lack are null."""
+    there = [f for f in fields if f in scores.columns]
+    both = table.drop(*fields).join(scores.select(index, *there), index, "left")
+    return both.withColumns({f: F.lit(None).cast("string") for f in fields if f not in there}).select(*(c for c in table.columns if c not in fields), *fields)
+
+
 # ---- evaluation (A6-A9, F14) ----------------------------------------------------------------------------
 
 

@@ -1,8 +1,10 @@
 """Retrieval of library actions by overlap scores: top k of each query.
 
-Only rows that share a family or a token with a query can score above 0 (lengths and qualities only take away), so
-scored pairs come from equality joins on families and tokens, with counts before them. What a query lacks to k rows comes
-from the rows without any overlap, whose scores depend on the library row alone: the best k of them are one small list.
+A row's overlap with a query depends on its signature alone, that is its family and token sets; what it loses is its own. So
+rows are first gathered by signature: how many lose less than each number of points, and the k that lose least. Signatures
+meet by equality of a family or a token, distinct ones on both sides, and a query looks at rows of its k best signatures only.
+What it lacks to k rows comes from rows without any overlap, in the order of what they lose: short lists of the library's
+best rows, read further only while some query still lacks rows.
 """
 
 from __future__ import annotations
@@ -30,12 +32,54 @@ def overlap_points(q: str, lib: str) -> Column:
     return reduce(lambda a, f: a + F.when(overlaps(f"{q}{f}", f"{lib}{f}"), POINTS[f]).otherwise(0.0), POINTS, total)
 
 
-def _keys(df: DataFrame, key: str) -> DataFrame:
+FIELDS = ["family", *POINTS]
+#: What all overlaps together can give; a row that loses as much scores 0 or less with any query.
+MOST_POINTS = int(FAMILY_POINTS + sum(POINTS.values()))
+#: Library rows in the first list for queries that lack rows, for each row wanted.
+LISTED = 8
+
+
+def signed(df: DataFrame) -> DataFrame:
+    """The rows with ``sig``, a digest of family and token sets."""
+    sets = [F.array_sort(F.array_distinct(F.coalesce(F.filter(f, lambda x: x.isNotNull()), F.array().cast("array<string>")))) for f in POINTS]
+    return df.withColumns(dict(zip(POINTS, sets))).withColumn("sig", F.md5(F.to_json(F.struct(*FIELDS)).cast("binary")))
+
+
+def _keys(df: DataFrame, name: str) -> DataFrame:
     def named(f: str) -> Column:
         return F.transform(f, lambda x: F.concat(F.lit(f"{f}="), x))
 
     fields = [F.array(F.concat(F.lit("family="), F.col("family"))), *map(named, POINTS)]
-    return df.select(key, F.explode(F.array_distinct(F.filter(F.concat(*fields), lambda x: x.isNotNull()))).alias("token"))
+    return df.select(F.col("sig").alias(name), F.explode(F.filter(F.concat(*fields), lambda x: x.isNotNull())).alias("token"))
+
+
+def _named(df: DataFrame, prefix: str, *more: str) -> DataFrame:
+    return df.select(F.col("sig").alias(f"{prefix}sig"), *(F.col(c).alias(prefix + c) for c in (*FIELDS, *more)))
+
+
+def _fill(short: DataFrame, lib: DataFrame, k: int) -> DataFrame:
+    """``q_sig, library_id, score``: for each of the signatures the first k rows, in the order of loss, that it overlaps with in nothing.
+
+    Lists of the library's best rows go out to the signatures, each list eight times as long as the one before, until all
+    have their rows or the library ends. Rows with a loss under 1 that overlap score above 0, and a signature that is
+    short has fewer than k of those, so the first list serves wherever the library has some rows of small loss.
+    """
+    found, lack, size, upto = None, _named(short, "q_").withColumn("have", F.lit(0).cast("long")), LISTED * k, 0
+    total = lib.count()
+    while upto < total:
+        best = lib.orderBy("loss", "library_id").offset(upto).limit(size).select("library_id", "loss", *FIELDS)
+        listed = best.agg(F.array_sort(F.collect_list(F.struct("loss", "library_id", *FIELDS))).alias("l"))
+        apart = lambda r: ~F.coalesce(F.col("q_family") == r["family"], F.lit(False)) & reduce(lambda a, f: a & ~F.arrays_overlap(F.col(f"q_{f}"), r[f]), POINTS, F.lit(True))
+        got = lack.crossJoin(F.broadcast(listed)).withColumn("l", F.slice(F.filter("l", apart), 1, k))
+        rows = got.select("q_sig", F.explode("l").alias("r")).select("q_sig", F.col("r.library_id").alias("library_id"), (-F.col("r.loss")).alias("score"))
+        found = rows if found is None else found.unionAll(rows)
+        upto, size = upto + size, size * 8
+        if upto >= total:
+            break
+        lack = got.withColumn("have", F.col("have") + F.size("l")).where(F.col("have") < k).drop("l")
+        if lack.isEmpty():
+            break
+    return found if found is not None else lack.select("q_sig", F.lit(None).cast(lib.schema["library_id"].dataType).alias("library_id"), F.lit(0.0).alias("score")).where("false")
 
 
 def top_k(queries: DataFrame, library: DataFrame, k: int = 5) -> DataFrame:
@@ -44,26 +88,28 @@ def top_k(queries: DataFrame, library: DataFrame, k: int = 5) -> DataFrame:
     Both sides hold ``family`` and the arrays ``verbs, objects, targets, spatial``; the library ``t`` and ``quality`` too.
     ``candidate_count`` is how many rows score above 0. Rows that score 0 or less fill up the k.
     """
-    lib = library.withColumn("loss", penalty("t", "quality"))
-    pairs = _keys(queries, "query_id").join(_keys(lib, "library_id"), "token").select("query_id", "library_id").distinct()
-    named = lambda df, p, cols: df.select(*(F.col(c).alias(p + c if c not in ("query_id", "library_id") else c) for c in cols))
-    q = named(queries, "q_", ["query_id", "family", *POINTS])
-    c = named(lib, "l_", ["library_id", "family", "loss", *POINTS])
-    scored = pairs.join(q, "query_id").join(c, "library_id").select("query_id", "library_id", (overlap_points("q_", "l_") - F.col("l_loss")).alias("score"))
-    counts = scored.groupBy("query_id").agg(F.count_if(F.col("score") > 0).alias("candidate_count"))
-    # the best rows of the library by loss alone: enough to fill k places after any that also overlap are left out
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "library_id")
-    best = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("rank")
-    short = queries.select("query_id").join(counts, "query_id", "left").where(F.coalesce("candidate_count", F.lit(0)) < k).select("query_id")
-    overlap = pairs.join(short, "query_id", "left_semi").groupBy("query_id").agg(F.collect_set("library_id").alias("seen"))
-    most = overlap.agg(F.coalesce(F.max(F.size("seen")), F.lit(0)).alias("m"))
-    ranked = lib.select("library_id", (-F.col("loss")).alias("score")).withColumn("place", F.row_number().over(Window.orderBy(F.desc("score"), "library_id")))
-    fill = ranked.crossJoin(F.broadcast(most)).where(F.col("place") <= F.col("m") + k).select("library_id", "score")
-    fill = fill.agg(F.collect_list(F.struct("library_id", "score")).alias("rest"))
-    free = short.join(overlap, "query_id", "left").crossJoin(F.broadcast(fill))
-    free = free.select("query_id", F.explode(F.slice(F.sort_array(F.transform(F.filter("rest", lambda r: ~F.coalesce(F.array_contains("seen", r["library_id"]), F.lit(False))), lambda r: F.struct((-r["score"]).alias("loss"), r["library_id"].alias("library_id")))), 1, k)).alias("r"))
-    both = best.unionByName(free.select("query_id", F.col("r.library_id").alias("library_id"), (-F.col("r.loss")).alias("score")))
-    out = both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).join(counts, "query_id", "left")
+    asked = signed(queries)
+    lib = signed(library.withColumn("loss", penalty("t", "quality"))).select("library_id", "loss", "sig", *FIELDS)
+    asked_sigs = asked.select("sig", *FIELDS).dropDuplicates(["sig"])
+    under = F.array(*(F.count_if(F.col("loss") < p) for p in range(MOST_POINTS + 1)))
+    sums = lib.groupBy("sig").agg(*(F.first(f).alias(f) for f in FIELDS), under.alias("under"))
+    place = F.row_number().over(Window.partitionBy("sig").orderBy("loss", "library_id"))
+    few = lib.withColumn("n", place).where(F.col("n") <= k).groupBy("sig").agg(F.array_sort(F.collect_list(F.struct("loss", "library_id"))).alias("few"))
+    library_sigs = sums.join(few, "sig")
+
+    pairs = _keys(asked_sigs, "q_sig").join(_keys(sums, "l_sig"), "token").select("q_sig", "l_sig").distinct()
+    met = pairs.join(_named(asked_sigs, "q_"), "q_sig").join(_named(library_sigs, "l_", "under", "few"), "l_sig")
+    met = met.select("q_sig", overlap_points("q_", "l_").alias("points"), F.col("l_under").alias("under"), F.col("l_few").alias("few"))
+    above = F.element_at("under", F.col("points").cast("int") + 1)
+    best = Window.partitionBy("q_sig").orderBy(F.desc(F.col("points") - F.col("few")[0]["loss"]), F.col("few")[0]["library_id"])
+    counts = met.groupBy("q_sig").agg(F.sum(above).alias("candidate_count"))
+    first = met.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k).select("q_sig", "points", F.explode("few").alias("r"))
+    rows = first.select("q_sig", F.col("r.library_id").alias("library_id"), (F.col("points") - F.col("r.loss")).alias("score"))
+    short = asked_sigs.join(counts.where(F.col("candidate_count") >= k), asked_sigs["sig"] == counts["q_sig"], "left_anti")
+    rows = rows.unionByName(_fill(short, lib, k))
+    order = Window.partitionBy("q_sig").orderBy(F.desc("score"), "library_id")
+    ranked = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).join(counts, "q_sig", "left")
+    out = asked.select("query_id", F.col("sig").alias("q_sig")).join(ranked, "q_sig")
     return out.select("query_id", "rank", "library_id", rounded("score").alias("score"), F.coalesce("candidate_count", F.lit(0)).alias("candidate_count"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tracklode.functions.expr import arithmetic_hash, col, quantile_bin
+from tracklode.operators.quantiles import cut_points, range_of
 
 
 def first_per_group(df: DataFrame, group: list[str], order: list[Column | str], n: int) -> DataFrame:
@@ -28,10 +29,31 @@ def sample_per_class(df: DataFrame, label: str, key: str, n: int) -> DataFrame:
 
 
 def ratio_sample(df: DataFrame, label: str, key: str, ratio: float) -> DataFrame:
-    """A share of each class, one row at least."""
-    w = Window.partitionBy(label)
-    rows = df.withColumns({"__n": F.row_number().over(w.orderBy(arithmetic_hash(key), key)), "__all": F.count("*").over(w)})
-    return rows.where(F.col("__n") <= F.greatest(F.lit(1), F.floor(F.col("__all") * ratio))).drop("__n", "__all")
+    """A share of each class in hash order, one row at least. Only rows of the hash at a class's cut are numbered."""
+    h = arithmetic_hash(key)
+    take = F.greatest(F.lit(1).cast("long"), F.floor(F.col("all") * ratio))
+    rows = df.withColumn("__h", h)
+    cuts = hash_cuts(rows.select(F.col(label).alias("__label"), "__h"), ["__label"], take)
+    return first_of_hash_order(rows, cuts, key, F.col(label).eqNullSafe(F.col("__label"))).select(*df.columns)
+
+
+def hash_cuts(rows: DataFrame, by: list[str], take: Column) -> DataFrame:
+    """``by, __cut, __room``: the hash at which the first ``take`` rows (of ``all``) of each group end, and how many rows of it belong to
+    them. Rows are counted by hash, of which there are 1,000,003 at most, before anything is ordered."""
+    names = by or ["__one"]
+    counts = rows.withColumns({} if by else {"__one": F.lit(0)}).groupBy(*names, "__h").agg(F.count("*").alias("n"))
+    line = Window.partitionBy(*names)
+    run = counts.withColumns({"upto": F.sum("n").over(line.orderBy("__h")), "all": F.sum("n").over(line)}).withColumn("take", take)
+    first = F.min(F.when(F.col("upto") >= F.col("take"), F.struct(F.col("__h").alias("h"), (F.col("take") - F.col("upto") + F.col("n")).alias("room"))))
+    return run.groupBy(*names).agg(first.alias("c")).select(*by, F.col("c.h").alias("__cut"), F.col("c.room").alias("__room"))
+
+
+def first_of_hash_order(rows: DataFrame, cuts: DataFrame, key: str, on: Column | None) -> DataFrame:
+    """The rows before their group's cut, and of those at the cut the first by key."""
+    both = rows.join(cuts, on) if on is not None else rows.crossJoin(F.broadcast(cuts))
+    group = [c for c in cuts.columns if c not in ("__cut", "__room")]
+    edge = both.where(F.col("__h") == F.col("__cut")).withColumn("__n", F.row_number().over(Window.partitionBy(*group, "__h").orderBy(key)))
+    return both.where(F.col("__h") < F.col("__cut")).unionByName(edge.where(F.col("__n") <= F.col("__room")).drop("__n"))
 
 
 def train_split(df: DataFrame, key: str, share: float = 0.9) -> DataFrame:
@@ -40,14 +62,12 @@ def train_split(df: DataFrame, key: str, share: float = 0.9) -> DataFrame:
     The cut is the exact quantile row of the hash order, found by one aggregate over distinct hashes (at most 1,000,003),
     so rows need no global order: those of the hash at the cut are numbered, others are decided by the hash alone.
     """
-    h = arithmetic_hash(key)
-    counts = df.groupBy(h.alias("h")).agg(F.count("*").alias("n"))
-    run = counts.select("h", "n", F.sum("n").over(Window.orderBy("h")).alias("upto"))
-    total = df.agg(F.floor(F.count("*") * share).alias("take"))
-    cut = run.crossJoin(F.broadcast(total)).where(F.col("upto") > F.col("take")).agg(F.min(F.struct("h", (F.col("take") - (F.col("upto") - F.col("n"))).alias("room"))).alias("c"))
-    rows = df.withColumn("__h", h).crossJoin(F.broadcast(cut))
-    edge = F.when(F.col("__h") == F.col("c.h"), F.row_number().over(Window.partitionBy("__h").orderBy(key)) <= F.col("c.room")).otherwise(F.col("__h") < F.col("c.h"))
-    return rows.withColumn("split", F.when(F.col("c").isNull() | edge, "train").otherwise("val")).drop("__h", "c")
+    rows = df.withColumn("__h", arithmetic_hash(key))
+    cut = hash_cuts(rows.select("__h"), [], F.floor(F.col("all") * share))
+    both = rows.crossJoin(F.broadcast(cut))
+    named = lambda x, train: x.withColumn("split", F.when(train, "train").otherwise("val")).select(*df.columns, "split")
+    edge = both.where(F.col("__h") == F.col("__cut")).withColumn("__n", F.row_number().over(Window.partitionBy("__h").orderBy(key)))
+    return named(both.where(F.col("__h") != F.col("__cut")), F.col("__h") < F.col("__cut")).unionAll(named(edge, F.col("__n") <= F.col("__room")))
 
 
 def style_choice(key: Column | str, styles: list[tuple[str, int]]) -> Column:
@@ -59,21 +79,15 @@ def style_choice(key: Column | str, styles: list[tuple[str, int]]) -> Column:
     return out.otherwise(styles[-1][0])
 
 
-#: Ranges of values that are ranked apart.
-RANGES = 4096
-
-
 def value_ranks(df: DataFrame, value: str) -> DataFrame:
     """``__v, __n, __less, __all``: each distinct value, its rows, the rows of smaller values, and all rows. Null is the smallest.
 
-    Rows are counted by value before anything is ordered; values are ordered within equal ranges, and only the ranges' sums,
-    at most ``RANGES`` rows, are ordered in one place.
+    Rows are counted by value before anything is ordered; values are ordered within ranges that a sketch of quantiles cuts, and
+    only the ranges' sums are ordered in one place.
     """
     counts = df.groupBy(F.col(value).alias("__v")).agg(F.count("*").alias("__n"))
-    ends = counts.agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__n").alias("__all"))
-    width = F.greatest((F.col("__hi") - F.col("__lo")) / F.lit(RANGES), F.lit(1e-300))
-    at = F.when(F.col("__v").isNull(), F.lit(-1)).otherwise(F.least(F.floor((F.col("__v") - F.col("__lo")) / width), F.lit(RANGES - 1)))
-    placed = counts.crossJoin(F.broadcast(ends)).withColumn("__r", at)
+    ends = counts.agg(F.sum("__n").alias("__all")).crossJoin(F.broadcast(cut_points(counts, [], "__v")))
+    placed = counts.crossJoin(F.broadcast(ends)).withColumn("__r", F.when(F.col("__v").isNull(), F.lit(-1)).otherwise(range_of("__v")))
     before = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
     ranges = placed.groupBy("__r").agg(F.sum("__n").alias("__s")).select("__r", F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__b"))
     within = Window.partitionBy("__r").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
@@ -100,7 +114,7 @@ def with_bins(df: DataFrame, value: str, key: str, bins: int, name: str) -> Data
 
 def stratified_sample(df: DataFrame, strata: list[str], key: str, n: int) -> DataFrame:
     """``n`` rows, one of each stratum in turn, strata and rows in hash order; strata that run out are passed over."""
-    rows = df.withColumn("__turn", F.row_number().over(Window.partitionBy(*strata).orderBy(arithmetic_hash(key), key)))
+    rows = df.withColumn("__turn", F.row_number().over(Window.partitionBy(*strata).orderBy(arithmetic_hash(key), key))).where(F.col("__turn") <= n)
     return rows.orderBy("__turn", *strata).limit(n).drop("__turn")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tracklode.functions.expr import clamp, col, finite, l2, minus, quaternion_norm, reasons, rounded
+from tracklode.operators.quantiles import quantile_row, quantiles
 
 
 def steps(df: DataFrame, keys: list[str], order: list[str]):
@@ -26,21 +27,28 @@ def deltas(df: DataFrame, keys: list[str], order: list[str], value: str, name: s
     return df.withColumn(name, F.when(before.isNotNull(), F.coalesce(finite(gap), F.lit(0.0))))
 
 
+def _middle(few: Column, low: Column, high: Column, p05: Column, p95: Column) -> Column:
+    return F.coalesce(F.when(few, (low + high) / 2).otherwise((p05 + p95) / 2), F.lit(0.5))
+
+
 def binary_threshold(value: Column | str) -> Column:
-    """Aggregate: the middle of a signal's two levels. With at most 8 distinct values the middle of the extremes, else of
-    the 5th and 95th percentile; 0.5 without values."""
+    """Aggregate of one episode: the middle of a signal's two levels. With at most 8 distinct values the middle of the extremes,
+    else of the 5th and 95th percentile; 0.5 without values. Its buffer holds the distinct values: ``thresholds`` serves whole tables."""
     v = finite(value)
-    few = F.count_distinct(F.round(v, 6)) <= 8
-    wide = (F.percentile(v, 0.05) + F.percentile(v, 0.95)) / 2
-    return F.coalesce(F.when(few, (F.min(F.round(v, 6)) + F.max(F.round(v, 6))) / 2).otherwise(wide), F.lit(0.5))
+    return _middle(F.count_distinct(F.round(v, 6)) <= 8, F.min(F.round(v, 6)), F.max(F.round(v, 6)), F.percentile(v, 0.05), F.percentile(v, 0.95))
 
 
 def thresholds(moved: DataFrame, value: str, delta: str = "delta") -> DataFrame:
     """One row of corpus-wide thresholds: pause (p10), active (p25), spike (p99), mean and p95 of the steps, and the signal's middle."""
-    p = F.percentile(finite(delta), F.array(*map(F.lit, (0.10, 0.25, 0.95, 0.99))))
-    one = moved.agg(p.alias("p"), F.avg(finite(delta)).alias("mean"), binary_threshold(value).alias("grip"))
-    get = lambda i, d: F.coalesce(F.col("p")[i], F.lit(d))
-    return one.select(get(0, 1e-6).alias("pause_thr"), get(1, 1e-4).alias("active_thr"), get(2, 1.0).alias("p95_ref"), get(3, 1.0).alias("spike_thr"), F.coalesce("mean", F.lit(1.0)).alias("mean_ref"), F.col("grip").alias("grip_thr"))
+    d, v = finite(delta), finite(value)
+    # distinct values end after nine: whether there are more is all that counts
+    nine = moved.select(F.round(v, 6).alias("v")).where("v is not null").distinct().limit(9).agg((F.count("*") <= 8).alias("few"))
+    one = moved.agg(F.avg(d).alias("mean"), F.min(F.round(v, 6)).alias("low"), F.max(F.round(v, 6)).alias("high")).crossJoin(F.broadcast(nine))
+    shares = {"p10": (d, 0.10), "p25": (d, 0.25), "p95": (d, 0.95), "p99": (d, 0.99), "v05": (v, 0.05), "v95": (v, 0.95)}
+    both = one.crossJoin(F.broadcast(quantile_row(moved, shares)))
+    get = lambda n, x: F.coalesce(F.col(n), F.lit(x))
+    grip = _middle(*map(F.col, ("few", "low", "high", "v05", "v95")))
+    return both.select(get("p10", 1e-6).alias("pause_thr"), get("p25", 1e-4).alias("active_thr"), get("p95", 1.0).alias("p95_ref"), get("p99", 1.0).alias("spike_thr"), get("mean", 1.0).alias("mean_ref"), grip.alias("grip_thr"))
 
 
 def complexity(mean: Column, p95: Column, mean_ref: Column, p95_ref: Column, bimanual: Column, transitions: Column, segments: Column) -> Column:
@@ -96,7 +104,8 @@ def two_arm_stats(df: DataFrame, keys: list[str], order: list[str], left: str, r
     """Motion of two arms, the share of steps in which both move, and the dominant arm."""
     base = df.select(*keys, *order, left, right)
     moved = deltas(deltas(base, keys, order, left, "dl"), keys, order, right, "dr")
-    limit = moved.select(F.explode(F.array("dl", "dr")).alias("d")).agg(F.coalesce(F.percentile("d", 0.25), F.lit(1e-4)).alias("active_thr"))
+    both = moved.select(F.explode(F.array("dl", "dr")).alias("d"))
+    limit = quantiles(both, [], "d", {"q": 0.25}).select(F.coalesce("q", F.lit(1e-4)).alias("active_thr"))
     rows = moved.crossJoin(F.broadcast(limit))
     on = lambda c: (F.col(c) > F.col("active_thr")).cast("double")
     zero = lambda c: F.coalesce(c, F.lit(0.0))
@@ -120,9 +129,9 @@ def dim_stats(df: DataFrame, keys: list[str], values: str) -> DataFrame:
     long = long.withColumn("x", finite("raw"))
     flat = long.groupBy(*keys, "dim").agg(F.min("x").alias("low"), F.max("x").alias("high"), F.max(F.abs("x")).alias("most"))
     still = flat.groupBy("dim").agg(F.avg(F.coalesce((F.col("high") - F.col("low") <= 1e-8) | (F.col("most") <= 1e-8), F.lit(True)).cast("double")).alias("constant_ratio"))
-    p = F.percentile("x", F.array(*map(F.lit, (0.01, 0.05, 0.5, 0.95, 0.99))))
-    all_ = long.groupBy("dim").agg(F.min("x").alias("low"), F.max("x").alias("high"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"), p.alias("p"), F.count_if(F.isnan("raw")).alias("nan_count"), F.count_if(F.abs("raw") == float("inf")).alias("inf_count"))
-    picked = all_.join(still, "dim").select("dim", "low", "high", "mean", "std", *(F.col("p")[i].alias(f"p{q:02d}") for i, q in enumerate((1, 5, 50, 95, 99))), "constant_ratio", "nan_count", "inf_count")
+    all_ = long.groupBy("dim").agg(F.min("x").alias("low"), F.max("x").alias("high"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"), F.count_if(F.isnan("raw")).alias("nan_count"), F.count_if(F.abs("raw") == float("inf")).alias("inf_count"))
+    p = quantiles(long, ["dim"], "x", {f"p{q:02d}": q / 100 for q in (1, 5, 50, 95, 99)})
+    picked = all_.join(p, "dim").join(still, "dim")
     return picked.select("dim", *(rounded(c).alias(c) for c in ("low", "high", "mean", "std", "p01", "p05", "p50", "p95", "p99", "constant_ratio")), "nan_count", "inf_count")
 
 
@@ -142,16 +151,16 @@ def contact_score(events: Column | str, no_contact: Column | str, longest: Colum
 
 def outliers(stats: DataFrame, t: str = "t", delta: str = "delta_max", score: str = "complexity") -> DataFrame:
     """Episodes at or over the 99th percentile of length, largest step or complexity, with the reasons."""
-    limits = stats.agg(*(F.percentile(c, 0.99).alias(f"{n}_limit") for n, c in (("t", t), ("d", delta), ("c", score))))
+    limits = quantile_row(stats, {f"{n}_limit": (F.col(c), 0.99) for n, c in (("t", t), ("d", delta), ("c", score))})
     wide = stats.crossJoin(F.broadcast(limits))
     why = reasons((F.col(t) >= F.col("t_limit"), "trajectory_length_p99"), (F.col(delta) >= F.col("d_limit"), "delta_max_p99"), (F.col(score) >= F.col("c_limit"), "complexity_p99"))
     return wide.withColumn("outlier_reason", why).where("outlier_reason <> ''").drop("t_limit", "d_limit", "c_limit")
 
 
 def summary(stats: DataFrame, t: str = "t") -> DataFrame:
-    p = F.percentile(t, F.array(F.lit(0.5), F.lit(0.95)))
-    out = stats.agg(F.min(t).alias("t_min"), p.alias("p"), F.avg(t).alias("t_mean"), F.max(t).alias("t_max"))
-    return out.select("t_min", F.col("p")[0].alias("t_median"), rounded("t_mean").alias("t_mean"), F.col("p")[1].alias("t_p95"), "t_max")
+    out = stats.agg(F.min(t).alias("t_min"), F.avg(t).alias("t_mean"), F.max(t).alias("t_max"))
+    both = out.crossJoin(F.broadcast(quantiles(stats, [], t, {"t_median": 0.5, "t_p95": 0.95})))
+    return both.select("t_min", "t_median", rounded("t_mean").alias("t_mean"), "t_p95", "t_max")
 
 
 def normalise(df: DataFrame, values: str) -> tuple[DataFrame, DataFrame]:
@@ -161,8 +170,7 @@ def normalise(df: DataFrame, values: str) -> tuple[DataFrame, DataFrame]:
     The limits come back to the rows as two arrays in one row, as wide as the array.
     """
     long = df.select(F.posexplode(values).alias("dim", "x")).select("dim", F.col("x").cast("double").alias("x"))
-    p = F.percentile("x", F.array(F.lit(0.01), F.lit(0.99)))
-    limits = long.groupBy("dim").agg(p.alias("p")).select("dim", F.col("p")[0].alias("p01"), F.col("p")[1].alias("p99"))
+    limits = quantiles(long, ["dim"], "x", {"p01": 0.01, "p99": 0.99})
     clipped = long.join(F.broadcast(limits), "dim").withColumn("x", clamp("x", F.col("p01"), F.col("p99")))
     config = clipped.groupBy("dim").agg(F.first("p01").alias("p01"), F.first("p99").alias("p99"), F.avg("x").alias("mean"), (F.stddev_pop("x") + 1e-6).alias("std"))
     packed = config.agg(F.array_sort(F.collect_list(F.struct("dim", "p01", "p99", "mean", "std"))).alias("cfg"))
@@ -181,6 +189,17 @@ def adjacent_similarity(df: DataFrame, keys: list[str], order: list[str], vector
     return out.select(*keys, rounded("cos_mean").alias("cos_mean"), rounded("cos_min").alias("cos_min"), rounded(1 - F.col("cos_min")).alias("scene_cut"), rounded("repeat_ratio").alias("repeat_ratio"))
 
 
+def blended_similarity(df: DataFrame, keys: list[str], order: list[str], first: str, second: str, share: float = 0.65) -> DataFrame:
+    """Neighbours' cosines of two kinds of vectors, blended: mean and least of the blend, scene cut, and the least of each kind."""
+    from tracklode.functions.expr import cosine
+
+    w = steps(df, keys, order)
+    a, b = (cosine(c, F.lag(c).over(w)) for c in (first, second))
+    rows = df.select(*keys, a.alias("a"), b.alias("b")).withColumn("both", share * F.col("a") + (1 - share) * F.col("b"))
+    out = rows.groupBy(*keys).agg(F.avg("both").alias("blend_mean"), F.min("both").alias("blend_min"), F.min("a").alias("first_min"), F.min("b").alias("second_min"))
+    return out.select(*keys, *(rounded(c).alias(c) for c in out.columns[len(keys) :]), rounded(1 - F.col("blend_min")).alias("scene_cut"))
+
+
 def identity_jump(cut: Column | str, least_clip: Column | str, least_dino: Column | str) -> Column:
     return (col(cut) > 0.55) & (col(least_clip) < 0.72) & (col(least_dino) < 0.45)
 
@@ -197,12 +216,16 @@ def peak_frames(position: Column | str, length: Column | str, frames: Column | s
     return F.bround(col(position) / F.greatest(col(length) - 1, F.lit(1)) * (col(frames) - 1)).cast("int")
 
 
-def contract_reasons(values: Column, least_steps: int = 60, width: int = 14) -> Column:
-    """Why an episode's array of rows is refused; '' if it is not."""
+def contract_reasons(values: Column, least_steps: int = 60, width: int = 14, needed: dict[str, Column] | None = None, poses: tuple[Column, ...] = ()) -> Column:
+    """Why an episode's array of rows is refused; '' if it is not. ``needed`` are the series that must be there (arms and grips by
+    name), ``poses`` those that must be as long as the actions where they are there."""
     bad = F.exists(values, lambda r: F.exists(r, lambda x: F.isnan(x) | (F.abs(x) == float("inf"))))
     shape = F.exists(values, lambda r: F.size(r) != width)
     missing = values.isNull()
-    return F.when(missing, "action_missing").otherwise(reasons((shape, "action_shape_invalid"), (F.size(values) < least_steps, "too_short"), (bad, "action_not_finite")))
+    lacking = [(c.isNull(), f"missing_{n}") for n, c in (needed or {}).items()]
+    uneven = [(F.coalesce(F.size(p) != F.size(values), F.lit(False)), "pose_length_mismatch") for p in poses]
+    said = reasons((shape, "action_shape_invalid"), *lacking, (F.size(values) < least_steps, "too_short"), (bad, "action_not_finite"), *uneven)
+    return F.when(missing, "action_missing").otherwise(F.array_join(F.array_distinct(F.split(said, ";")), ";"))
 
 
 def largest_steps(df: DataFrame, keys: list[str], order: list[str], series: list[str]) -> DataFrame:

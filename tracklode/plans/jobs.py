@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -12,6 +12,27 @@ from tracklode.functions.expr import base_name, half_even, safe_name, target_cou
 PROFILES = ("wa_clean_fixed", "wa_mild_random", "wa_hard_success")
 SHARES = {(False, False): (1.0, None, None), (True, True): (0.70, 0.20, "rest"), (True, False): (0.80, "rest", None), (False, True): (0.90, None, "rest")}
 SECONDARY_RATIO = 0.05
+SETTINGS = {
+    "wa_clean_fixed": {
+        "cluttered_table": False, "random_background": False, "clean_background_rate": 1.0, "random_light": False,
+        "crazy_random_light_rate": 0.0, "random_table_height": 0.0, "random_head_camera_dis": 0.0,
+    },
+    "wa_mild_random": {
+        "cluttered_table": True, "random_background": True, "clean_background_rate": 0.7, "random_light": True,
+        "crazy_random_light_rate": 0.03, "random_table_height": 0.02, "random_head_camera_dis": 0.0,
+    },
+    "wa_hard_success": {
+        "cluttered_table": True, "random_background": True, "clean_background_rate": 0.35, "random_light": True,
+        "crazy_random_light_rate": 0.03, "random_table_height": 0.03, "random_head_camera_dis": 0.0,
+    },
+}
+
+
+def profile_settings(spark: SparkSession) -> DataFrame:
+    """``profile`` and its settings, a row a profile."""
+    names = list(SETTINGS[PROFILES[0]])
+    kinds = ", ".join(f"{n} {'boolean' if isinstance(SETTINGS[PROFILES[0]][n], bool) else 'double'}" for n in names)
+    return spark.createDataFrame([(p, *SETTINGS[p].values()) for p in PROFILES], f"profile string, {kinds}")
 
 
 def enabled_profiles(mild: bool, hard: bool) -> list[str]:
@@ -95,5 +116,7 @@ def probe_passed(reports: DataFrame, column: str) -> DataFrame:
     return reports.agg(F.coalesce(F.bool_or(F.get_json_object(column, "$.probe_pass") == "true"), F.lit(False)).alias("passed"))
 
 
-def probe_summary(outputs: DataFrame, shape: str, exportable: str) -> DataFrame:
-    return outputs.groupBy(shape).agg(F.count("*").alias("n"), F.count_if(exportable).alias("exportable"))
+def probe_summary(outputs: DataFrame, shape: str, exportable: str, frame: str | None = None) -> DataFrame:
+    """Runs of each shape, how many can be exported, and with ``frame`` the first one's first frame."""
+    first = [F.min(frame).alias("first_frame")] if frame else []
+    return outputs.groupBy(shape).agg(F.count("*").alias("n"), F.count_if(exportable).alias("exportable"), *first)

@@ -26,9 +26,12 @@ def empty(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """All columns as text, '' kept apart from null by neither side; quotes inside quotes are doubled, lines may break."""
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).option("nullValue", None).option("emptyValue", "")
+def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = True) -> DataFrame:
+    """All columns as text, '' kept apart from null by neither side; quotes inside quotes are doubled, lines may break.
+
+    A file whose texts may break lines is read by one task; ``multi_line=False`` lets large files without such texts be split.
+    """
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line).option("nullValue", None).option("emptyValue", "")
     if columns:
         reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
     return reader.csv(path).fillna("")
@@ -92,11 +95,17 @@ def listing(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 
 
 def datasets(files: DataFrame, root: str) -> DataFrame:
-    """``dataset, kind, files``: the split folders and video folders under a root, by their first folder."""
+    """``dataset, kind, files``: the split folders and video folders under a root, by their first folder, and the outermost
+    video folders further down in split folders (``nested``, by their path). Files right under the root belong to none."""
     rel = F.regexp_replace(F.regexp_replace("path", "^file:/+", "/"), "^" + root.replace("file://", "").rstrip("/") + "/", "")
-    first = F.split(rel, "/")[0]
-    kind = F.when(F.contains(first, F.lit("video")), "video").otherwise("split")
-    return files.withColumns({"dataset": first, "kind": kind}).where(F.contains(rel, F.lit("/"))).groupBy("dataset", "kind").agg(F.count("*").alias("files"))
+    parts = F.split(rel, "/")
+    folders = F.slice(parts, 1, F.size(parts) - 1)
+    deep = F.array_position(F.transform(folders, lambda x: F.contains(x, F.lit("video"))), True).cast("int")
+    one = lambda name, kind: F.struct(name.alias("dataset"), F.lit(kind).alias("kind"))
+    first = F.when(deep == 1, one(folders[0], "video")).otherwise(one(folders[0], "split"))
+    nested = F.when(deep > 1, one(F.array_join(F.slice(folders, F.lit(1), F.greatest(deep, F.lit(1))), "/"), "nested"))
+    found = files.where(F.size(folders) > 0).select(F.inline(F.array_compact(F.array(first, nested))))
+    return found.groupBy("dataset", "kind").agg(F.count("*").alias("files"))
 
 
 def tasks(files: DataFrame) -> DataFrame:
@@ -111,8 +120,9 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("image.origin", "image.height", "image.width", F.col("image.nChannels").alias("channels"), F.col("image.data").alias("pixels")).withColumnRenamed("origin", "path")
 
 
-def decode_files(files: DataFrame, decode: Callable[[str, bytes], Iterator[tuple]], schema: str) -> DataFrame:
-    """Rows that a decoder makes of each file's bytes; a file that cannot be decoded gives none.
+def decoded(files: DataFrame, decode: Callable[[str, bytes], Iterator[tuple]], schema: str) -> DataFrame:
+    """Rows that a decoder makes of each file's bytes, with ``source_path`` and ``decode_error``; a file that cannot be
+    decoded gives one row with its error and nothing else. A missing library is no file's fault and raises.
 
     ``files`` has ``path`` and ``content``. Decoders for HDF5, NPY and video plug in here; they run on executors, one
     file at a time.
@@ -125,13 +135,26 @@ def decode_files(files: DataFrame, decode: Callable[[str, bytes], Iterator[tuple
         for pdf in parts:
             for path, content in zip(pdf["path"], pdf["content"]):
                 try:
-                    rows = list(decode(path, content))
-                except Exception:
-                    rows = []
+                    rows, error = list(decode(path, content)), None
+                except ImportError:
+                    raise
+                except Exception as e:
+                    rows, error = [(None,) * len(names)], f"{type(e).__name__}: {e}"[:500]
                 if rows:
-                    yield pd.DataFrame(rows, columns=names)
+                    yield pd.DataFrame([(*r, path, error) for r in rows], columns=[*names, "source_path", "decode_error"])
+
+    return files.select("path", "content").mapInPandas(run, f"{schema}, source_path string, decode_error string")
+
+
+def decode_files(files: DataFrame, decode: Callable[[str, bytes], Iterator[tuple]], schema: str) -> DataFrame:
+    """Rows of the files that can be decoded; ``rejected_files`` has the others."""
+    return decoded(files, decode, schema).where("decode_error is null").drop("source_path", "decode_error")
+
 
-    return files.select("path", "content").mapInPandas(run, schema)
+def rejected_files(files: DataFrame, decode: Callable[[str, bytes], Iterator[tuple]], schema: str) -> DataFrame:
+    """``path, reason`` of the files that cannot be decoded."""
+    bad = decoded(files, decode, schema).where("decode_error is not null")
+    return bad.select(F.col("source_path").alias("path"), F.col("decode_error").alias("reason"))
 
 
 def decode_npy(path: str, content: bytes) -> Iterator[tuple]:

@@ -7,6 +7,8 @@ import time
 from functools import reduce
 from typing import Any
 
+import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,8 +33,61 @@ def write_union_csv(tables: list[DataFrame], path: str) -> None:
     write_csv(union_by_name(*tables), path)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)
+def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """Parquet at the path, or, for types that Parquet cannot hold, a CSV next to it that ``<path>.fallback.json`` names.
+    Returns which: ``parquet`` or ``csv``."""
+    try:
+        df.write.mode(mode).parquet(path)
+        return "parquet"
+    except AnalysisException as e:
+        if "UNSUPPORTED_DATA_TYPE" not in str(e):
+            raise
+    other = path.rsplit(".", 1)[0] + ".fallback.csv"
+    write_csv(df.select(*(F.col(c).cast("string").alias(c) for c in df.columns)), other, mode=mode)
+    write_json(df.sparkSession, f"{path}.fallback.json", {"path": other, "mode": "csv"})
+    return "csv"
+
+
+def write_files(df: DataFrame, folder: str, name: str, content: str) -> DataFrame:
+    """Writes each row's bytes as a file of its name under the folder, from the executors; returns ``path, length``.
+
+    Names tell files apart; a task that runs again writes the same file again.
+    """
+
+    def run(parts):
+        import pandas as pd
+        from pyarrow import fs
+
+        system, at = fs.FileSystem.from_uri(folder)
+        system.create_dir(at, recursive=True)
+        for pdf in parts:
+            for n, data in zip(pdf[name], pdf[content]):
+                with system.open_output_stream(f"{at}/{n}") as out:
+                    out.write(data)
+            yield pd.DataFrame({"path": [f"{folder}/{n}" for n in pdf[name]], "length": [len(x) for x in pdf[content]]})
+
+    return df.select(name, content).mapInPandas(run, "path string, length long")
+
+
+def npy_bytes(df: DataFrame, keys: list[str], order: list[str], values: str) -> DataFrame:
+    """``keys, content``: each key's arrays in order as one NumPy file of 32-bit floats. A key's rows are one file by nature."""
+
+    @F.pandas_udf("binary")
+    def packed(rows: pd.Series) -> pd.Series:
+        import io
+
+        import numpy as np
+
+        def one(arrays) -> bytes:
+            out = io.BytesIO()
+            np.save(out, np.array([list(a) for a in arrays], dtype=np.float32), allow_pickle=False)
+            return out.getvalue()
+
+        return rows.map(one)
+
+    listed = F.array_sort(F.collect_list(F.struct(*order, F.col(values).alias("__v"))))
+    rows = df.groupBy(*keys).agg(F.transform(listed, lambda r: r["__v"]).alias("__rows"))
+    return rows.select(*keys, packed("__rows").alias("content"))
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:

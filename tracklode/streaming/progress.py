@@ -14,11 +14,23 @@ def arriving(spark: SparkSession, path: str, like: DataFrame, files: int = 100)
     return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", files).option("pathGlobFilter", "*.parquet").parquet(path)
 
 
-def run_once(stream: DataFrame, mode: str, checkpoint: str) -> DataFrame:
-    """What the stream gives for all that has arrived, as a table in memory; for reports, whose rows are few."""
-    name = "t" + uuid.uuid4().hex
-    stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return stream.sparkSession.table(name)
+def run_once(stream: DataFrame, mode: str, path: str) -> DataFrame:
+    """What the stream gives for all that has arrived, from a Parquet table under ``path``, next to its checkpoint.
+
+    Each batch of mode ``complete`` or ``update`` writes the whole result under its number, so a batch that runs again
+    replaces its own; nothing passes through the driver.
+    """
+    seen: list[int] = []
+
+    def batch(df: DataFrame, n: int) -> None:
+        df.write.mode("overwrite").parquet(f"{path}/result/batch={n:09d}")
+        seen.append(n)
+
+    stream.writeStream.foreachBatch(batch).outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    spark = stream.sparkSession
+    if not seen:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(f"{path}/result/batch={max(seen):09d}")
 
 
 def run_to(stream: DataFrame, path: str, checkpoint: str) -> None:
