@@ -15,14 +15,16 @@ from pyspark.sql import functions as F
 from tracklode.functions import text as X
 from tracklode.functions import vision
 from tracklode.functions.expr import arithmetic_hash, average_hash, cosine, hamming, l2, minus, rounded, safe_float
-from tracklode.functions.lexicon import OBJECT_HINTS, PROSE, TARGET_HINTS, Lexicon, words
+from tracklode.functions.lexicon import OBJECT_HINTS, PROSE, TARGET_HINTS, Lexicon
 from tracklode.operators import aggregates as A
 from tracklode.operators import manifest as M
 from tracklode.operators import qc as Q
 from tracklode.operators import retrieval as R
 from tracklode.operators import sampling as S
 from tracklode.operators import trajectory as W
+from tracklode.operators.quantiles import quantiles
 from tracklode.plans import jobs as P
+from tracklode.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -104,7 +106,8 @@ def trajectory_dim_stats(spark, sf_dir):
 SELECT label, count(delta) AS n, round(avg(delta), 6) AS delta_mean, round(max(delta), 6) AS delta_max, round(quantile_cont(delta, 0.95), 6) AS delta_p95 FROM d GROUP BY label""")
 def vector_delta_stats(spark, sf_dir):
     moved = W.deltas(table(spark, sf_dir, "embeddings"), ["label"], ["vec_id"], "embedding")
-    return moved.groupBy("label").agg(F.count("delta").alias("n"), rounded(F.avg("delta")).alias("delta_mean"), rounded(F.max("delta")).alias("delta_max"), rounded(F.percentile("delta", 0.95)).alias("delta_p95"))
+    means = moved.groupBy("label").agg(F.count("delta").alias("n"), rounded(F.avg("delta")).alias("delta_mean"), rounded(F.max("delta")).alias("delta_max"))
+    return means.join(quantiles(moved, ["label"], "delta", {"p": 0.95}), "label", "left").select("label", "n", "delta_mean", "delta_max", rounded("p").alias("delta_p95"))
 
 
 @query("""WITH e AS (SELECT label, vec_id, list_slice(embedding::DOUBLE[], 1, 6) AS l, list_slice(embedding::DOUBLE[], 8, 13) AS r FROM embeddings),
@@ -280,8 +283,8 @@ def token_topk(spark, sf_dir):
     return A.token_counts(table(spark, sf_dir, "part"), "p_name", " ", top=10)
 
 
-def _hints_sql(hints: str) -> str:
-    return "array_to_string(list_sort(list_distinct(list_filter(t, lambda x: x IN (" + ", ".join(f"'{h}'" for h in words(hints)) + ")))), ';')"
+def _hints_sql(hints: list[str]) -> str:
+    return "array_to_string(list_sort(list_distinct(list_filter(t, lambda x: x IN (" + ", ".join(f"'{h}'" for h in hints) + ")))), ';')"
 
 
 @query(f"""WITH t AS (SELECT p_partkey, list_filter(string_split(replace(replace(p_name, ' ', '_'), '-', '_'), '_'), lambda x: x <> '') AS t FROM part)
@@ -759,15 +762,9 @@ def percent_ranks(spark, sf_dir):
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, str]:
     """The table's files as a stream, and a folder for its checkpoint in the place that the session shares."""
-    import tempfile
-    import uuid
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or (tempfile.gettempdir() if spark.sparkContext.master.startswith("local") else None)
-    if root is None:
-        raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
     like = table(spark, sf_dir, name)
     stream = spark.readStream.schema(like.schema).parquet(f"{sf_dir}/{name}.parque[t]")  # as a pattern it may be a file or a folder
-    return stream, f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return stream, scratch_path(spark, "stream")
 
 
 @query("SELECT event_type, count(*) AS n, count(*) FILTER (WHERE value > 250) AS done FROM events GROUP BY event_type")
@@ -799,9 +796,15 @@ def stream_windows(spark, sf_dir):
     return out.select(F.floor(F.unix_timestamp("start") / 3600).alias("hour"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
+def _registered() -> None:
+    from tracklode import queries_io  # noqa: F401  registers its queries here
+
+
 def queries() -> dict[str, Query]:
+    _registered()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _registered()
     return dict(_SQL)
