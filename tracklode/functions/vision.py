@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracklode.functions.expr import col
+from tracklode.sources.scratch import Scratch
 
 # Weights of the luma of red, green and blue.
 LUMA = np.array([0.299, 0.587, 0.114])
@@ -127,32 +129,61 @@ def bin_entropy(df: DataFrame, keys: list[str], value: str, low: float, high: fl
     return out.select(*keys, F.round(F.log2("all") - F.col("s") / F.col("all"), 6).alias("entropy"))
 
 
-def leader_groups(df: DataFrame, key: str, code: str, radius: int = 4) -> DataFrame:
+#: Codes of which leaders are found at a time, on the driver.
+LEADERS = 4096
+
+
+def _bytes(codes: list[str], width: int) -> np.ndarray:
+    return np.frombuffer("".join(codes).encode("latin-1"), np.uint8).reshape(len(codes), width)
+
+
+def _first_near(codes: np.ndarray, leaders: np.ndarray, radius: int) -> np.ndarray:
+    """Place of the first leader within the radius of each code, -1 if there is none."""
+    out = np.full(len(codes), -1)
+    for s in range(0, len(codes), 256):
+        apart = np.zeros((len(codes[s : s + 256]), len(leaders)), np.int16)
+        for k in range(codes.shape[1]):
+            apart += codes[s : s + 256, k, None] != leaders[:, k]
+        near = apart <= radius
+        out[s : s + 256] = np.where(near.any(axis=1), near.argmax(axis=1), -1)
+    return out
+
+
+def leader_groups(df: DataFrame, key: str, code: str, radius: int = 4, batch: int = LEADERS) -> DataFrame:
     """``key, group_id``: in the order of the key each code joins the first leader within the radius, or leads a group.
 
-    Order makes this sequential by nature: equal codes are brought together first, and only the distinct codes, 64
-    characters each, are scanned in one task.
+    Equal codes are brought together first. Then each round takes the first ``batch`` codes that are left, which no leader so
+    far is near to, finds the leaders among them in order, and lets all that are left join those: the same groups as one
+    pass in order gives, while no task holds more codes than a batch. Codes are of one length, one byte a character; a null
+    code has no group.
     """
+    spark, scratch = df.sparkSession, Scratch(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
-    distinct = df.groupBy(code).agg(F.min(key).alias("first"))
-
-    def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(parts), ignore_index=True)
-        rows = rows.sort_values("first", ignore_index=True)
-        leaders, ids, out = np.zeros((0, 0), np.uint8), [], []
-        for c, first in zip(rows[code], rows["first"]):
-            bits = np.frombuffer(c.encode(), np.uint8)
-            near = np.flatnonzero((leaders != bits).sum(axis=1) <= radius) if len(ids) else []
-            if len(near):
-                out.append(ids[near[0]])
-            else:
-                leaders = np.vstack([leaders, bits]) if len(ids) else bits[None]
-                ids.append(first)
-                out.append(first)
-        yield pd.DataFrame({code: rows[code], "group_id": out})
-
-    grouped = distinct.coalesce(1).mapInPandas(scan, f"{code} string, group_id {kind}")
-    return df.select(key, code).join(grouped, code).select(key, "group_id")
+    rows = df.where(F.col(code).isNotNull()).select(F.col(key).alias("key"), F.col(code).alias("code"))
+    left = scratch.write(rows.groupBy("code").agg(F.min("key").alias("first")), "codes")
+    done: list[DataFrame] = []
+    while head := left.orderBy("first", "code").limit(batch).collect():
+        width = len(head[0]["code"])
+        codes, ids, leaders = _bytes([r["code"] for r in head], width), [], np.zeros((0, width), np.uint8)
+        for r, c in zip(head, codes):
+            if not len(ids) or _first_near(c[None], leaders, radius)[0] < 0:
+                ids.append(r["first"])
+                leaders = np.vstack([leaders, c])
+        shared = spark.sparkContext.broadcast((ids, leaders))
+
+        def join(parts: Iterator[pd.DataFrame], shared=shared, width=width) -> Iterator[pd.DataFrame]:
+            ids, leaders = shared.value
+            for rows in parts:
+                at = _first_near(_bytes(list(rows["code"]), width), leaders, radius)
+                yield rows.assign(group_id=pd.Series([ids[i] if i >= 0 else None for i in at], dtype=object))
+
+        joined = scratch.write(left.mapInPandas(join, f"code string, first {kind}, group_id {kind}"), "joined")
+        done.append(joined.where("group_id is not null").select("code", "group_id"))
+        left = joined.where("group_id is null").select("code", "first")
+    if not done:
+        return df.select(key, F.lit(None).cast(kind).alias("group_id")).where("false")
+    groups = reduce(DataFrame.unionAll, done)
+    return rows.join(groups, "code").select(F.col("key").alias(key), "group_id")
 
 
 def kmeans_clusters(df: DataFrame, key: str, vector: str, k: int = 12, seed: int = 7) -> DataFrame:
