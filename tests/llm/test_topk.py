@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tracklode.llm import topk
 from tracklode.llm.common import Scratch
@@ -35,10 +36,13 @@ def rows(n, dim, seed, levels=None):
     rows(300, 8, 1), rows(200, 5, 2, [0.0, 0.5]), rows(3, 4, 3), rows(60, 1, 4),
     [*rows(120, 6, 5), (None, [0.1] * 6), (130, None), (131, [None] * 6), (132, [float("nan")] * 6), (133, [float("inf")] + [0.0] * 5), (134, [1.0] * 3), (10, [0.9] * 6), (10, [0.9] * 6), (7, [0.8] * 6), (140, [])],
 ])
-def test_against_all_pairs(spark, monkeypatch, data):
+@pytest.mark.parametrize("held", [0, 64])
+def test_against_all_pairs(spark, monkeypatch, data, held):
     monkeypatch.setattr(topk, "GROUP_ROWS", 50)
     monkeypatch.setattr(topk, "ROWS", 16)
     monkeypatch.setattr(topk, "QUERIES", 4)
+    monkeypatch.setattr(topk, "LEAST_ROWS", 30)
+    monkeypatch.setattr(topk, "HELD", held)
     df = spark.createDataFrame(data, "vec_id long, embedding array<double>").selectExpr("*", "1 as v", "2 as cut", "3 as score").repartition(3)
     got = sorted(map(tuple, topk.search(df, Scratch(spark), every=10).collect()))
     assert got == plain(data, 10, 5)
@@ -52,9 +56,41 @@ def test_large_integers_stay_exact(spark):
     assert got == plain(data, 50, 5)
 
 
-def test_best_breaks_ties_by_id_and_counts_an_id_once():
-    scores, ids = np.array([5, 7, 7, 7, 1, 5]), np.array([9, 4, 2, 2, 1, 3])
-    assert [ids[i] for i in topk._best(scores, ids, 3)] == [2, 4, 3]
+def length(column):
+    return F.sum(F.length(column) / 8).cast("long")
+
+
+def test_the_cutoff_skips_rows_and_only_misses_are_looked_up(spark, monkeypatch):
+    monkeypatch.setattr(topk, "ROWS", 64)
+    monkeypatch.setattr(topk, "QUERIES", 8)
+    rnd = random.Random(7)
+    centres = [[rnd.gauss(0, 1) for _ in range(16)] for _ in range(12)]
+    data = [(i, [(c + rnd.gauss(0, 0.2)) / 8 for c in rnd.choice(centres)]) for i in range(3000)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = topk.phases(df, Scratch(spark), every=100)
+    pairs = 30 * 3000
+    blocks = got["gathered"].where("bests is not null").count()
+    assert got["requests"].count() < blocks / 2  # most pairs of a block and a chunk are skipped
+    given = got["entries"].agg(length("at")).first()[0]
+    looked, whole = (got["lacking"].where(f"whole = {w}").agg(length("at")).first()[0] or 0 for w in (0, 1))
+    assert given < 2 * pairs / 10 and looked + 2 * whole == given and whole > 0
+    assert got["scored"].count() <= 30 * 8
+    assert sorted(map(tuple, topk.search(df, Scratch(spark), every=100).collect())) == plain(data, 100, 5)
+
+
+def test_a_vector_that_many_rows_share_is_one_class(spark):
+    data = [(i, [0.5, 0.25, -0.5]) for i in range(200)] + [(200 + i, [0.5, 0.25, i / 300]) for i in range(100)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = topk.phases(df, Scratch(spark))
+    assert got["entries"].agg(length("at")).first()[0] < 1000
+    assert sorted(map(tuple, topk.search(df, Scratch(spark)).collect())) == plain(data, 50, 5)
+
+
+def test_products_are_exact():
+    rng = np.random.default_rng(0)
+    for most in (100, 2**15, 2**25, 2**40):
+        a, b = rng.integers(-most, most, (5, 7)), rng.integers(-most // 2**20 - 3, 100, (6, 7))
+        assert topk.products(a, b).tolist() == [[sum(int(x) * int(y) for x, y in zip(p, q)) for q in b] for p in a]
 
 
 def test_empty_table(spark):
