@@ -1,8 +1,8 @@
 """Chat formatting (op 10), DataFrame functions only: reply trees to conversations.
 
-Messages form trees by parent. Paths from root to leaf are enumerated by iterative self-joins that double the reach
-of a jump table: after k rounds every leaf knows its ancestors up to 2**k - 1 steps away, so a chain of a thousand
-turns takes ten joins. The rows made are those of the paths themselves. Texts take no part until paths are chosen.
+Messages form trees by parent. Iterative self-joins double the reach of a jump table, so a chain of a thousand turns
+takes ten joins; the scores passed add up on the way and rank the leaves. Only the chosen paths are then enumerated, by
+the same tables. Texts take no part until then.
 
 The template writes a turn as ``<turn role="...">text</turn>`` and a newline. Every ``<`` of its own begins a mark;
 those of roles and texts are written as ``&lt;``, ampersands as ``&amp;`` and quotes of roles as ``&quot;``. So no
@@ -51,67 +51,88 @@ def chain(rows: DataFrame) -> DataFrame:
     return numbered.select("tree", "node", F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 
 
-def paths(messages: DataFrame, scratch: Scratch) -> DataFrame:
-    """``tree, leaf, node, back``: the nodes of each root-to-leaf path, ``back`` steps from the leaf.
+def keyed(df: DataFrame) -> DataFrame:
+    """Adds ``k, no``, a null-safe form of the tree."""
+    return df.withColumns({"k": F.coalesce(F.col("tree").cast("string"), F.lit("")), "no": F.col("tree").isNull()})
 
-    A parent that is not there makes its child a root. Trees are null-safe keys; nodes are unique in their tree.
-    A loop of parents raises.
+
+KEYS = ["k", "no"]
+
+
+def jumps(messages: DataFrame, scratch: Scratch) -> list[DataFrame]:
+    """Tables ``k, no, node, up, total, count`` by round: after round r a jump goes 2**r steps up, ``total`` and ``count`` are of
+    the scores (null: 0) of the nodes it passes, its own included. ``up`` is null past the root, where the last table has all.
+
+    A parent that is not there makes its child a root. A loop of parents raises.
     """
-    key = F.coalesce(F.col("tree").cast("string"), F.lit("")).alias("k")
-    light = messages.select("tree", key, F.col("tree").isNull().alias("no"), "node", "parent")
+    light = keyed(messages).select(*KEYS, "node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("total"), F.lit(1).cast("long").alias("count"))
     light = scratch.write(light, "nodes")
-    keys = ["k", "no"]
-    known = light.select(*keys, F.col("node").alias("parent"))
-    jump = scratch.write(light.join(known, [*keys, "parent"], "left_semi").select(*keys, "node", F.col("parent").alias("up")), "jumps")
-    parents = jump.select(*keys, F.col("up").alias("node"))
-    leaves = light.join(parents.distinct(), [*keys, "node"], "left_anti")
-    found = scratch.write(leaves.select("tree", *keys, F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("back")), "paths")
-    reach, total = 1, light.count()
-    while not jump.isEmpty():
-        if reach > 2 * total:
+    known = light.select(*KEYS, F.col("node").alias("parent"), F.col("node").alias("up"))
+    table = scratch.write(light.join(known, [*KEYS, "parent"], "left").select(*KEYS, "node", "up", "total", "count"), "jumps")
+    scratch.drop(light)
+    out, reach, nodes = [table], 1, table.count()
+    while not table.where("up is not null").isEmpty():
+        if reach > 2 * nodes:
             raise ValueError("the replies form a loop")
-        further = found.join(jump, [*keys, "node"]).select("tree", *keys, "leaf", F.col("up").alias("node"), (F.col("back") + reach).alias("back"))
-        found = scratch.write(found.unionAll(further), "paths")
-        onward = jump.select(*keys, F.col("node").alias("up"), F.col("up").alias("top"))
-        jump = scratch.write(jump.join(onward, [*keys, "up"]).select(*keys, "node", F.col("top").alias("up")), "jumps")
+        onward = table.select(*KEYS, F.col("node").alias("up"), F.col("up").alias("top"), F.col("total").alias("more"), F.col("count").alias("n"))
+        both = table.where("up is not null").join(onward, [*KEYS, "up"])
+        further = both.select(*KEYS, "node", F.col("top").alias("up"), (F.col("total") + F.col("more")).alias("total"), (F.col("count") + F.col("n")).alias("count"))
+        table = scratch.write(further.unionByName(table.where("up is null")), "jumps")
+        out.append(table)
         reach *= 2
-    return found
+    return out
 
 
-def chosen(messages: DataFrame, scratch: Scratch, branches: int | None = 1) -> DataFrame:
-    """Messages of the best ``branches`` paths of each tree (None: all), with ``leaf``, ``place`` and ``branch``.
+def paths(messages: DataFrame, scratch: Scratch, branches: int | None = None) -> DataFrame:
+    """``tree, leaf, branch, node, back``: the nodes of the best ``branches`` root-to-leaf paths of each tree (None: all), ``back``
+    steps from the leaf.
 
-    Paths rank by the mean score of their nodes (null: 0), then by the smaller leaf.
+    Leaves rank by the mean score of their path (null: 0), then by the smaller leaf. The sums come along with the jumps,
+    so only paths that are chosen are ever written. Trees are null-safe keys; nodes are unique in their tree.
     """
-    walked = paths(messages, scratch)
-    key = F.coalesce(F.col("tree").cast("string"), F.lit("")).alias("k")
-    body = messages.select(key, F.col("tree").isNull().alias("no"), "node", "role", "text", F.coalesce("score", F.lit(0.0)).alias("score"))
-    full = walked.join(body, ["k", "no", "node"])
-    each = full.groupBy("tree", "k", "no", "leaf").agg(F.avg("score").alias("mean"))
-    rank = F.row_number().over(Window.partitionBy("k", "no").orderBy(F.desc("mean"), "leaf"))
-    ranked = each.withColumn("branch", rank)
+    tables = jumps(messages, scratch)
+    inner = tables[0].where("up is not null").select(*KEYS, F.col("up").alias("node")).distinct()
+    leaves = tables[-1].join(inner, [*KEYS, "node"], "left_anti").withColumn("mean", F.round(F.col("total") / F.col("count"), 12))
+    rank = F.row_number().over(Window.partitionBy(*KEYS).orderBy(F.desc("mean"), "node"))
+    best = leaves.withColumn("branch", rank)
     if branches is not None:
-        ranked = ranked.where(F.col("branch") <= branches)
-    return full.drop("tree").join(ranked.drop("mean"), ["k", "no", "leaf"]).select("tree", "leaf", "branch", "back", "role", "text")
+        best = best.where(F.col("branch") <= branches)
+    found = scratch.write(best.select(*KEYS, F.col("node").alias("leaf"), "branch", "node", F.lit(0).cast("long").alias("back")), "paths")
+    for r, table in enumerate(tables[:-1]):
+        step = table.where("up is not null").select(*KEYS, "node", "up")
+        further = found.join(step, [*KEYS, "node"]).select(*KEYS, "leaf", "branch", F.col("up").alias("node"), (F.col("back") + (1 << r)).alias("back"))
+        longer = scratch.write(found.unionByName(further), "paths")
+        scratch.drop(found)
+        found = longer
+    scratch.drop(*tables)
+    scratch.sweep()
+    kind = messages.schema["tree"].dataType
+    return found.select(F.when(~F.col("no"), F.col("k")).cast(kind).alias("tree"), "leaf", "branch", "node", "back")
+
+
+def chosen(messages: DataFrame, scratch: Scratch, branches: int | None = 1) -> DataFrame:
+    """``tree, leaf, branch, back, role, text`` of the messages of the best ``branches`` paths of each tree (None: all)."""
+    walked = keyed(paths(messages, scratch, branches)).drop("tree")
+    body = keyed(messages).select("tree", *KEYS, "node", "role", "text")
+    return walked.join(body, [*KEYS, "node"]).select("tree", "leaf", "branch", "back", "role", "text")
 
 
 def format_paths(turns: DataFrame) -> DataFrame:
     """``tree, leaf, branch, formatted, mask``: one conversation a path.
 
-    ``mask`` holds ``start`` (from 0) and ``length``, in characters of ``formatted``, of each assistant text.
+    ``mask`` holds ``start`` (from 0) and ``length``, in characters of ``formatted``, of each assistant text. Places are
+    running sums over the turns of a path, which stay with their path from there on.
     """
     head = F.concat(F.lit(OPEN), escape_role(F.col("role")), F.lit(MIDDLE))
     body = escape(F.col("text"))
-    one = F.struct((-F.col("back")).alias("place"), F.concat(head, body, F.lit(CLOSE)).alias("turn"), F.length(head).alias("head"), F.length(body).alias("body"), (F.col("role") == "assistant").alias("loss"))
-    listed = turns.groupBy("tree", "leaf", "branch").agg(F.array_sort(F.collect_list(one)).alias("turns"))
-    start = lambda acc: acc["at"]
-    zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,length:int>>)").alias("mask"))
-    step = lambda acc, t: F.struct(
-        (start(acc) + F.length(t["turn"])).alias("at"),
-        F.when(t["loss"], F.concat(acc["mask"], F.array(F.struct((start(acc) + t["head"]).alias("start"), t["body"].alias("length"))))).otherwise(acc["mask"]).alias("mask"),
-    )
-    mask = F.aggregate("turns", zero, step)["mask"]
-    return listed.select("tree", "leaf", "branch", F.array_join(F.transform("turns", lambda t: t["turn"]), "").alias("formatted"), mask.alias("mask"))
+    path = ["tree", "leaf", "branch"]
+    rows = turns.select(*path, "back", (F.col("role") == "assistant").alias("loss"), F.concat(head, body, F.lit(CLOSE)).alias("turn"), F.length(head).alias("head"), F.length(body).alias("body"))
+    before = Window.partitionBy(*path).orderBy(F.desc("back")).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("at", F.coalesce(F.sum(F.length("turn")).over(before), F.lit(0)).cast("int") + F.col("head"))
+    one = F.struct((-F.col("back")).alias("place"), "turn", F.when(F.col("loss"), F.struct(F.col("at").alias("start"), F.col("body").alias("length"))).alias("mask"))
+    listed = rows.groupBy(*path).agg(F.array_sort(F.collect_list(one)).alias("turns"))
+    mask = F.array_compact(F.transform("turns", lambda t: t["mask"]))
+    return listed.select(*path, F.array_join(F.transform("turns", lambda t: t["turn"]), "").alias("formatted"), mask.alias("mask"))
 
 
 def parse(formatted: DataFrame) -> DataFrame:
