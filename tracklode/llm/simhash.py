@@ -6,7 +6,8 @@ left out. Variants are indexed, brought together by equality, and every candidat
 
 Groups of one variant are read as sorted streams. A group links each member to members found so far, and gives only
 links that join parts not yet joined: fewer links than members, whatever the size of the group. A group larger than
-``GROUP`` is dealt out again by a second exact key (a further segment that must agree), so no task gathers it whole.
+``GROUP`` is dealt out again by further exact keys, segments of the bits that its key has not fixed yet, as often as it
+takes; with 13 bits left no group is too large. So no task gathers one whole.
 Exact copies never meet: they share a fingerprint, which is counted before any shuffle of variants.
 """
 
@@ -22,14 +23,23 @@ from pyspark.sql import functions as F
 
 from tracklode.llm import jaccard
 from tracklode.llm.common import Scratch, components, forest, map_rows
-from tracklode.llm.jaccard import word_shingles
 
 #: Members of one variant's group that are compared in one place.
 GROUP = 20_000
+#: Free bits at which groups are compared whatever their size: with the one left out, two to the power of one more.
+FEW = 13
 #: Fingerprints compared at a time.
 BLOCK = 512
 
 
+def word_shingles(data: bytes, size: int) -> list[bytes]:
+    """Shingles of ASCII-lower-cased words between ASCII white space, repeats included; fewer words: one shingle."""
+    words = data.lower().split()
+    if len(words) <= size:
+        return [b" ".join(words)] if words else []
+    return list(map(b" ".join, zip(*(words[k:] for k in range(size)))))
+
+
 def fingerprint(data: bytes, size: int = 3) -> int:
     """Bit b is 1 if it is set in over half of the shingles' XXH64 (seed 42); no words: zero."""
     shingles = word_shingles(data, size)
@@ -157,7 +167,7 @@ SMALL = 16
 WINDOW = 1 << 17
 
 
-def _links(rows: DataFrame, bits: int, cap: int | None) -> DataFrame:
+def _links(rows: DataFrame, bits: int, cap: int) -> DataFrame:
     """Links of the groups of ``key, fp``; members of groups over ``cap`` come back as ``key, null, fp``."""
     schema = pa.schema([("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
@@ -173,7 +183,7 @@ def _links(rows: DataFrame, bits: int, cap: int | None) -> DataFrame:
         yield give(None, *small_links(keys[small], fps[small], bits, SMALL))
         for s, e in zip(starts[size > SMALL].tolist(), ends[size > SMALL].tolist()):
             group = np.unique(fps[s:e])
-            if cap and len(group) > cap:
+            if len(group) > cap:
                 yield give(np.repeat(keys[s], len(group)), None, group)
             else:
                 i, j = near_links(group, bits)
@@ -198,7 +208,7 @@ def _links(rows: DataFrame, bits: int, cap: int | None) -> DataFrame:
                 if last:
                     yield from solve(keys[:last], fps[:last])
                 keys, fps = keys[last:], fps[last:]
-                if cap and len(keys) > max(cap, WINDOW):
+                if len(keys) > max(cap, WINDOW):
                     spill = keys[0]
                     yield give(keys, None, fps)
                     keys, fps = keys[:0], fps[:0]
@@ -214,6 +224,55 @@ def _links(rows: DataFrame, bits: int, cap: int | None) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "key long, a long, b long")
 
 
+def mixed(keys: np.ndarray, parts: np.ndarray, k: int) -> np.ndarray:
+    v = (keys + parts * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k + 1)) * np.uint64(0xD6E8FEB86659FD93)
+    return v ^ (v >> np.uint64(29))
+
+
+def free_segments(fixed: int, bits: int) -> list[int]:
+    """Masks of ``bits + 1`` parts of the bits that are not fixed; of two within ``bits``, one part agrees."""
+    free = [b for b in range(64) if not fixed >> b & 1]
+    cut = [len(free) * k // (bits + 1) for k in range(bits + 2)]
+    return [sum(1 << b for b in free[i:j]) for i, j in zip(cut, cut[1:])]
+
+
+def dealt_again(large: DataFrame, bits: int, turn: int) -> DataFrame:
+    """``key, fp`` of the groups' members by further segments. In the first turn the bits that a group has fixed are those of its
+    variant, found by making the variants of its members again; later they are those of the turns before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, fps = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.uint64) for k in (0, 1))
+            path = batch.column(2).to_numpy(zero_copy_only=False)
+            if not turn:
+                made, _ = variants(fps, bits)
+                place = (made.reshape(-1, len(fps)) == keys).argmax(axis=0)
+                ends = np.cumsum([w for _, w in segments(bits)])
+                path = np.searchsorted(ends, place, "right")
+            out = []
+            for p in np.unique(path).tolist():
+                at = np.flatnonzero(path == p)
+                for k, mask in enumerate(free_segments(fixed_bits(p, bits, turn), bits)):
+                    out.append((mixed(keys[at], fps[at] & np.uint64(mask), k), fps[at], np.full(len(at), p * (bits + 1) + k)))
+            cols = [np.concatenate(c) if out else np.zeros(0) for c in zip(*out)] or [np.zeros(0)] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=["key", "fp", "path"])
+
+    return large.mapInArrow(run, "key long, fp long, path long")
+
+
+def fixed_bits(path: int, bits: int, turn: int) -> int:
+    """Mask of the bits that are fixed along a path: the variant's segment, then a part of the rest in each turn."""
+    steps = []
+    for _ in range(turn):
+        path, k = divmod(path, bits + 1)
+        steps.append(k)
+    low, width = segments(bits)[path]
+    fixed = ((1 << width) - 1) << low
+    for k in reversed(steps):
+        fixed |= free_segments(fixed, bits)[k]
+    return fixed
+
+
 def link(prints: DataFrame, scratch: Scratch, bits: int = 2, cap: int = GROUP) -> DataFrame:
     """Links ``a, b`` between distinct fingerprints ``fp`` that join just those which chains of near ones join."""
 
@@ -224,23 +283,20 @@ def link(prints: DataFrame, scratch: Scratch, bits: int = 2, cap: int = GROUP) -
             yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(owner.astype(np.int64))], names=["key", "fp"])
 
     found = scratch.write(_links(prints.select("fp").mapInArrow(index, "key long, fp long"), bits, cap), "links")
-
-    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # two within ``bits`` agree on one of bits + 1 further segments of the whole fingerprint
-        edges = [64 * k // (bits + 1) for k in range(bits + 2)]
-        for batch in batches:
-            keys, fps = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.uint64) for k in (0, 1))
-            out = []
-            for k, (low, high) in enumerate(zip(edges, edges[1:])):
-                part = (fps >> np.uint64(low)) & np.uint64((1 << high - low) - 1)
-                mixed = (keys + part * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k + 1)) * np.uint64(0xD6E8FEB86659FD93)
-                out.append(mixed ^ (mixed >> np.uint64(29)))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).astype(np.int64)), pa.array(np.tile(fps, bits + 1).astype(np.int64))], names=["key", "fp"])
-
-    links, large = found.where("key is null").select("a", "b"), found.where("key is not null").select("key", F.col("b").alias("fp"))
-    if not large.isEmpty():
-        links = links.unionAll(_links(large.mapInArrow(again, "key long, fp long"), bits, None).select("a", "b"))
-    return links
+    links, turn, free = [found.where("key is null").select("a", "b")], 0, 64 - min(w for _, w in segments(bits))
+    large = found.where("key is not null").select("key", F.col("b").alias("fp"), F.lit(0).cast("long").alias("path"))
+    while not large.isEmpty():
+        rows = scratch.write(dealt_again(large, bits, turn), "dealt")
+        free -= free // (bits + 1)
+        found = scratch.write(_links(rows.select("key", "fp"), bits, cap if free > FEW else 4 << FEW), "links")
+        links.append(found.where("key is null").select("a", "b"))
+        path = rows.select("key", "path").distinct()
+        large = found.where("key is not null").select("key", F.col("b").alias("fp")).join(path, "key")
+        turn += 1
+    out = links[0]
+    for more in links[1:]:
+        out = out.unionAll(more)
+    return out
 
 
 def _labelled(prints: DataFrame, distinct: DataFrame, root: DataFrame, scratch: Scratch) -> DataFrame:
