@@ -1,11 +1,9 @@
-"""Shared plumbing: the shared scratch folder, bounded Arrow batches, connected components."""
+"""Shared plumbing: bounded Arrow batches, connected components."""
 
 from __future__ import annotations
 
 import gc
 import re
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -13,60 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows and bytes of a batch that a Python worker holds at once; long texts make rows of 100 kB and more.
-ARROW_ROWS, ARROW_BYTES = 1024, 16 << 20
-
+from tracklode.sources.scratch import Scratch, scratch_path
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
+__all__ = ["Scratch", "scratch_path", "components", "forest", "map_rows", "small_batches"]
 
-    Only a local session may lack the setting; it then gets a folder of its own, as tests do.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("tracklode.shared.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith(("local[", "local-test")) and spark.sparkContext.master != "local":
-        raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
-    made = "file://" + tempfile.mkdtemp(prefix="tracklode-")
-    spark.conf.set("tracklode.shared.dir", made)
-    return made
-
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new place in the shared folder, with its scheme, so that readers outside Spark find the same store."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tracklode/{label}-{uuid.uuid4().hex}")
-    full = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    return "file://" + full.removeprefix("file:") if full.startswith("file:/") and not full.startswith("file://") else full
-
-
-class Scratch:
-    """Tables written to the shared folder to cut lineage; ``drop`` removes those no longer needed."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.paths: dict[int, str] = {}
-
-    def write(self, df: DataFrame, label: str) -> DataFrame:
-        path = scratch_path(self.spark, label)
-        df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
-        return out
-
-    def drop(self, *tables: DataFrame) -> None:
-        for df in tables:
-            delete(self.spark, self.paths.pop(id(df), None))
-
-    def sweep(self) -> None:
-        """Lets Spark remove the shuffle files of jobs whose DataFrames are gone."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
-
-
-def delete(spark: SparkSession, path: str | None) -> None:
-    if path:
-        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+#: Rows and bytes of a batch that a Python worker holds at once; long texts make rows of 100 kB and more.
+ARROW_ROWS, ARROW_BYTES = 1024, 16 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
