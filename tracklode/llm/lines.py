@@ -15,6 +15,38 @@ from pyspark.sql import functions as F
 from tracklode.llm.common import Scratch
 
 
+#: Elements whose content is no text, and elements that begin and end lines.
+HIDDEN = ("script", "style", "noscript", "template")
+BLOCKS = (
+    "address", "article", "aside", "blockquote", "body", "br", "caption", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header",
+    "hr", "html", "legend", "li", "main", "nav", "ol", "option", "p", "pre", "section", "select", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "title", "tr", "ul",
+)
+
+INVISIBLE = rf"(?is)<!--.*?-->|<(?:{'|'.join(HIDDEN)})\b[^>]*>.*?</(?:{'|'.join(HIDDEN)})\s*>"
+BLOCK = rf"(?i)</?(?:{'|'.join(BLOCKS)})\b[^>]*>"
+
+
+def page_host(url: Column) -> Column:
+    """The host of a URL in lower case, without user and port; null if there is none."""
+    return F.nullif(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))
+
+
+def page_text(html: Column) -> Column:
+    """The lines of a page: what stands between block elements and line breaks, without other tags, comments and hidden elements.
+
+    A hidden element lasts to the next end tag of a hidden element. Lines are trimmed, and empty ones left out. A page
+    without text gives an empty text, a null page null.
+    """
+    shown = F.regexp_replace(F.regexp_replace(html, INVISIBLE, ""), BLOCK, "\n")
+    lines = F.split(F.regexp_replace(shown, "<[^>]*>", ""), "[\n\r]")
+    return F.array_join(F.filter(F.transform(lines, lambda x: F.btrim(x)), lambda x: x != ""), "\n")
+
+
+def site_pages(pages: DataFrame) -> DataFrame:
+    """``page_id, host, text`` of raw pages ``page_id, url, html``."""
+    return pages.select("page_id", page_host(F.col("url")).alias("host"), page_text(F.col("html")).alias("text"))
+
+
 def _digest(line: Column) -> Column:
     return F.unhex(F.md5(line.cast("binary")))
 

@@ -54,7 +54,8 @@ def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]
 def pack(docs: DataFrame, scratch: Scratch, length: Column | None = None, context: int = 2048, buckets: int = 8, budget: int = 65_536, part_rows: int = 50_000) -> DataFrame:
     """``doc_id, piece, start, length, bucket, padding, batch, slot``: one row for each piece of each document.
 
-    ``length`` (default: words) is in tokens. Empty and null texts give one piece of length 0. ``bucket`` is the
+    ``length`` is the number of tokens, exact where it comes from ``tokens.count_tokens``; without it words are the unit, and
+    context and budget too. ``start`` and ``length`` of a piece count in that unit. Empty and null texts give one piece of length 0. ``bucket`` is the
     length to which the piece is padded, ``batch`` counts from 0 within the bucket, ``slot`` within the batch.
     Pieces that are alike in all columns (repeated rows) get numbers of their own in any order.
     """

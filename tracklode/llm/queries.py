@@ -43,6 +43,13 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lengths are exact token counts; the token budget and the context are those of the vocabulary."""
+    counted = tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
+    return packing.pack(counted, Scratch(spark), length=F.col("n_tokens"))
+
+
+def packing_by_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator with words as the unit, which SQL can express."""
     return packing.pack(table(spark, sf_dir, "documents"), Scratch(spark))
 
 
@@ -54,10 +61,19 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), Scratch(spark))
 
 
+def _cleaned(rows: DataFrame, key: str, host: str) -> DataFrame:
+    cleaned = lines.drop_boilerplate(rows, Scratch(rows.sparkSession), host=host)
+    return cleaned.select(key, host, "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = lines.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), Scratch(spark))
-    kept = F.sha2(F.coalesce("text", F.lit("")), 256)
-    return cleaned.select("doc_id", "source", "n_lines", "n_dropped", kept.alias("kept_sha256"))
+    """Web pages by host."""
+    return _cleaned(lines.site_pages(table(spark, sf_dir, "pages")), "page_id", "host")
+
+
+def line_dedup_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator over documents, with their source for a host, as the pipeline has it."""
+    return _cleaned(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id", "source")
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +89,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op1_media_columns, op2_quality_classifier, op3_token_counts, op4_substring_dedup, op5_packing, op6_byte_bpe, op7_exact_topk, op8_line_dedup, op9_simhash_near_dedup, op10_chat_formatting)
+    made = (
+        op1_media_columns, op2_quality_classifier, op3_token_counts, op4_substring_dedup, op5_packing, op6_byte_bpe, op7_exact_topk, op8_line_dedup, op9_simhash_near_dedup, op10_chat_formatting,
+        packing_by_words, line_dedup_by_source,
+    )
     return {f.__name__: f for f in made}
 
 
@@ -100,17 +119,29 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-OP8_SQL = """
-WITH l AS (SELECT doc_id, source, string_split(text, chr(10)) AS x FROM documents),
-totals AS (SELECT source, count(*) AS pages FROM documents WHERE source IS NOT NULL GROUP BY source),
-each AS (SELECT source, unnest(list_distinct(list_filter(list_transform(x, lambda y: trim(y, ' ')), lambda y: y <> ''))) AS line FROM l WHERE source IS NOT NULL),
-over AS (SELECT e.source, e.line FROM each e JOIN totals t ON e.source = t.source GROUP BY e.source, e.line, t.pages HAVING count(*) >= 5 AND count(*) > t.pages * 0.03),
-sets AS (SELECT source, list(line) AS lines FROM over GROUP BY source),
-kept AS (SELECT l.doc_id, l.source, l.x, CASE WHEN s.lines IS NULL THEN l.x ELSE list_filter(l.x, lambda y: trim(y, ' ') = '' OR NOT list_contains(s.lines, trim(y, ' '))) END AS k
-         FROM l LEFT JOIN sets s ON l.source = s.source)
-SELECT doc_id, source, coalesce(len(x), 0)::BIGINT AS n_lines, (coalesce(len(x), 0) - coalesce(len(k), 0))::BIGINT AS n_dropped, sha256(coalesce(array_to_string(k, chr(10)), '')) AS kept_sha256 FROM kept
+
+
+def _lines_sql(rows: str, key: str, host: str) -> str:
+    """Lines of ``rows``, which have a key, a host and a text."""
+    return f"""
+WITH rows AS ({rows}), l AS (SELECT {key}, {host}, string_split(text, chr(10)) AS x FROM rows),
+totals AS (SELECT {host}, count(*) AS pages FROM rows WHERE {host} IS NOT NULL GROUP BY {host}),
+each AS (SELECT {host}, unnest(list_distinct(list_filter(list_transform(x, lambda y: trim(y, ' ')), lambda y: y <> ''))) AS line FROM l WHERE {host} IS NOT NULL),
+over AS (SELECT e.{host}, e.line FROM each e JOIN totals t ON e.{host} = t.{host} GROUP BY e.{host}, e.line, t.pages HAVING count(*) >= 5 AND count(*) > t.pages * 0.03),
+sets AS (SELECT {host}, list(line) AS lines FROM over GROUP BY {host}),
+kept AS (SELECT l.{key}, l.{host}, l.x, CASE WHEN s.lines IS NULL THEN l.x ELSE list_filter(l.x, lambda y: trim(y, ' ') = '' OR NOT list_contains(s.lines, trim(y, ' '))) END AS k
+         FROM l LEFT JOIN sets s ON l.{host} = s.{host})
+SELECT {key}, {host}, coalesce(len(x), 0)::BIGINT AS n_lines, (coalesce(len(x), 0) - coalesce(len(k), 0))::BIGINT AS n_dropped, sha256(coalesce(array_to_string(k, chr(10)), '')) AS kept_sha256 FROM kept
 """
 
+
+def _pages_sql() -> str:
+    text = f"regexp_replace(regexp_replace(html, '{lines.INVISIBLE}', '', 'g'), '{lines.BLOCK}', chr(10), 'g')"
+    split = f"string_split(replace(regexp_replace({text}, '<[^>]*>', '', 'g'), chr(13), chr(10)), chr(10))"
+    host = "nullif(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1), '')"
+    return f"SELECT page_id, {host} AS host, array_to_string(list_filter(list_transform({split}, lambda x: trim(x, ' ')), lambda x: x <> ''), chr(10)) AS text FROM pages"
+
+
 OP10_SQL = r"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            UNION ALL SELECT -7, t, CASE WHEN t = 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok' FROM range(2) r(t)),
@@ -123,7 +154,7 @@ FROM e GROUP BY conv_id
 """
 
 
-def _op5_sql(context: int = 2048, buckets: int = 8, budget: int = 65_536, part_rows: int = 50_000) -> str:
+def _packing_sql(context: int = 2048, buckets: int = 8, budget: int = 65_536, part_rows: int = 50_000) -> str:
     """The same dynamic programming, one step of it a common table; ``b`` walks back from the longest length."""
     steps = ["d0 AS (SELECT 0::BIGINT AS j, 0::DOUBLE AS cost, 0::BIGINT AS come)"]
     for k in range(1, buckets + 1):
@@ -151,4 +182,8 @@ SELECT doc_id, piece, start, length, bucket::BIGINT AS bucket, (bucket - length)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_substring_dedup": OP4_SQL, "op5_packing": _op5_sql(), "op7_exact_topk": OP7_SQL, "op8_line_dedup": OP8_SQL, "op10_chat_formatting": OP10_SQL}
+    by_source = _lines_sql("SELECT doc_id, source, text FROM documents", "doc_id", "source")
+    return {
+        "op4_substring_dedup": OP4_SQL, "op7_exact_topk": OP7_SQL, "op8_line_dedup": _lines_sql(_pages_sql(), "page_id", "host"), "op10_chat_formatting": OP10_SQL,
+        "packing_by_words": _packing_sql(), "line_dedup_by_source": by_source,
+    }
