@@ -74,3 +74,84 @@ def test_held_out_accuracy_on_the_given_tables(spark):
     sf = "/root/testdata/sf0.01"
     out = __spark_entry__.queries()["op2_quality_classifier"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").toPandas()
     assert (out.predicted == out.quality).mean() >= 0.95
+
+
+def plain_buckets(text):
+    """Feature buckets by whole numbers, one gram at a time."""
+    import xxhash
+
+    wide, mix = 1 << 64, int(quality.MIX)
+    words = (text or "").split()
+    w = [xxhash.xxh64_intdigest(x.lower(), 1) for x in words]
+    s = [xxhash.xxh64_intdigest(quality.shape(x), 2) for x in words]
+    codes = [*s, *((a * mix + b) % wide + 5 for a, b in zip(s, s[1:])), *((((a * mix + b) % wide) * mix + c) % wide + 7 for a, b, c in zip(s, s[1:], s[2:]))]
+    codes += [*w, *((a * mix + b) % wide + 3 for a, b in zip(w, w[1:]))]
+    return sorted({c % wide * mix % wide >> 64 - quality.BITS for c in codes})
+
+
+def plain_scores(train, texts, cost=1.0, passes=12):
+    """Naive Bayes support vectors with dicts: log-count ratios, hinge loss by dual ascent, a logistic curve through margins of three folds."""
+    import math
+
+    rows = [(plain_buckets(t), y) for _, t, y in sorted(train)]
+    n = {y: {} for y in (0, 1)}
+    for b, y in rows:
+        for k in b:
+            n[y][k] = n[y].get(k, 0) + 1
+    total = {y: quality.SIZE + sum(n[y].values()) for y in n}
+    ratio = lambda k: math.log((1 + n[1].get(k, 0)) / total[1]) - math.log((1 + n[0].get(k, 0)) / total[0])
+
+    def vector(b):
+        length = math.sqrt(sum(ratio(k) ** 2 for k in b))
+        return {k: ratio(k) / length for k in b} if length else {}
+
+    def fit(part):
+        weights, bias, alpha = {}, 0.0, [0.0] * len(part)
+        rng = np.random.default_rng(1)
+        for _ in range(passes):
+            worst = 0.0
+            for i in rng.permutation(len(part)):
+                x, y, c = part[i]
+                slope = y * (sum(weights.get(k, 0.0) * v for k, v in x.items()) + bias) - 1
+                new = min(max(alpha[i] - slope / (sum(v * v for v in x.values()) + 1), 0.0), c)
+                step = new - alpha[i]
+                alpha[i] = new
+                for k, v in x.items():
+                    weights[k] = weights.get(k, 0.0) + step * y * v
+                bias += step * y
+                worst = max(worst, abs(step))
+            if worst < 1e-3:
+                break
+        return lambda x: sum(weights.get(k, 0.0) * v for k, v in x.items()) + bias
+
+    count = {y: sum(z == y for _, z in rows) for y in (0, 1)}
+    made = [(vector(b), 2 * y - 1, cost * len(rows) / (2 * count[y])) for b, y in rows]
+    margins = [0.0] * len(made)
+    for k in range(3):
+        f = fit([r for i, r in enumerate(made) if i % 3 != k])
+        for i in range(k, len(made), 3):
+            margins[i] = f(made[i][0])
+    a, b = quality.fit_curve(np.array(margins), np.array([y for _, y, _ in made], float))
+    f = fit(made)
+    return [1 / (1 + math.exp(-min(max(a * f(vector(plain_buckets(t))) + b, -40), 40))) for t in texts]
+
+
+def test_scores_equal_those_of_a_plain_model(spark):
+    import random
+
+    rnd = random.Random(2)
+    good, bad, odd = ["River", "hill", "calm,", "über", "walks", "12", "A-b"], ["BUY!!", "now", "$9", "cheap", "hill", "x" * 30], ["", " ", "é"]
+    rows = [(i, " ".join(rnd.choice((good if i % 3 else bad) + odd) for _ in range(rnd.randint(0, 12)))) for i in range(90)]
+    docs = spark.createDataFrame([*rows, (500, None)], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(bool(i % 3)) if i % 7 else 0) for i, _ in rows], "doc_id long, quality int")
+    train = [(i, t, int(bool(i % 3)) if i % 7 else 0) for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    got = {r.doc_id: r.score for r in quality.score(docs, quality.train(docs, labels)).collect()}
+    want = plain_scores(train, [t for _, t in rows] + [None])
+    assert np.allclose([got[i] for i, _ in [*rows, (500, None)]], want, atol=1e-9)
+
+
+def test_the_sample_is_bounded_by_rows_and_by_indicators(spark):
+    docs, labels = table(spark)
+    whole = quality.train(docs, labels)
+    assert np.array_equal(whole.square, quality.train(docs, labels, max_fit_rows=100).square)  # counts cover all rows
+    assert not np.array_equal(whole.scaled, quality.train(docs, labels, max_fit_features=1000).scaled)
