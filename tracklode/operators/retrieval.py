@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tracklode.functions.expr import either_number, overlaps, rounded, safe_float
+from tracklode.sources.scratch import Scratch
 
 # Points of each overlap.
 POINTS = {"verbs": 3.0, "objects": 3.0, "targets": 2.0, "spatial": 1.0}
@@ -35,6 +36,8 @@ def overlap_points(q: str, lib: str) -> Column:
 FIELDS = ["family", *POINTS]
 #: What all overlaps together can give; a row that loses as much scores 0 or less with any query.
 MOST_POINTS = int(FAMILY_POINTS + sum(POINTS.values()))
+#: Distinct tokens of the queries that are broadcast at most.
+TOKENS = 10_000
 #: Library rows in the first list for queries that lack rows, for each row wanted.
 LISTED = 8
 
@@ -45,6 +48,18 @@ def signed(df: DataFrame) -> DataFrame:
     return df.withColumns(dict(zip(POINTS, sets))).withColumn("sig", F.md5(F.to_json(F.struct(*FIELDS)).cast("binary")))
 
 
+def asked_only(library: DataFrame, queries: DataFrame) -> DataFrame:
+    """The library's token sets without tokens that no query has, which no score depends on: so fewer signatures differ.
+
+    Queries with over ``TOKENS`` tokens leave the sets as they are."""
+    tokens = [queries.select(F.explode(f).alias("t"), F.lit(f).alias("f")) for f in POINTS]
+    distinct = reduce(DataFrame.unionAll, tokens).distinct()
+    if distinct.count() > TOKENS:
+        return library
+    known = distinct.agg(*(F.collect_list(F.when(F.col("f") == f, F.col("t"))).alias(f"__{f}") for f in POINTS))
+    return library.crossJoin(F.broadcast(known)).withColumns({f: F.array_intersect(f, f"__{f}") for f in POINTS}).drop(*(f"__{f}" for f in POINTS))
+
+
 def _keys(df: DataFrame, name: str) -> DataFrame:
     def named(f: str) -> Column:
         return F.transform(f, lambda x: F.concat(F.lit(f"{f}="), x))
@@ -88,22 +103,26 @@ def top_k(queries: DataFrame, library: DataFrame, k: int = 5) -> DataFrame:
     Both sides hold ``family`` and the arrays ``verbs, objects, targets, spatial``; the library ``t`` and ``quality`` too.
     ``candidate_count`` is how many rows score above 0. Rows that score 0 or less fill up the k.
     """
-    asked = signed(queries)
-    lib = signed(library.withColumn("loss", penalty("t", "quality"))).select("library_id", "loss", "sig", *FIELDS)
+    scratch = Scratch(queries.sparkSession)
+    asked = scratch.write(signed(queries).select("query_id", "sig", *FIELDS), "queries")
+    lib = signed(asked_only(library.withColumn("loss", penalty("t", "quality")), asked)).select("library_id", "loss", "sig", *FIELDS)
+    lib = scratch.write(lib, "library")
     asked_sigs = asked.select("sig", *FIELDS).dropDuplicates(["sig"])
     under = F.array(*(F.count_if(F.col("loss") < p) for p in range(MOST_POINTS + 1)))
     sums = lib.groupBy("sig").agg(*(F.first(f).alias(f) for f in FIELDS), under.alias("under"))
     place = F.row_number().over(Window.partitionBy("sig").orderBy("loss", "library_id"))
     few = lib.withColumn("n", place).where(F.col("n") <= k).groupBy("sig").agg(F.array_sort(F.collect_list(F.struct("loss", "library_id"))).alias("few"))
-    library_sigs = sums.join(few, "sig")
+    library_sigs = scratch.write(sums.join(few, "sig"), "signatures")
 
-    pairs = _keys(asked_sigs, "q_sig").join(_keys(sums, "l_sig"), "token").select("q_sig", "l_sig").distinct()
+    pairs = _keys(asked_sigs, "q_sig").join(_keys(library_sigs, "l_sig"), "token").select("q_sig", "l_sig").distinct()
     met = pairs.join(_named(asked_sigs, "q_"), "q_sig").join(_named(library_sigs, "l_", "under", "few"), "l_sig")
-    met = met.select("q_sig", overlap_points("q_", "l_").alias("points"), F.col("l_under").alias("under"), F.col("l_few").alias("few"))
-    above = F.element_at("under", F.col("points").cast("int") + 1)
-    best = Window.partitionBy("q_sig").orderBy(F.desc(F.col("points") - F.col("few")[0]["loss"]), F.col("few")[0]["library_id"])
-    counts = met.groupBy("q_sig").agg(F.sum(above).alias("candidate_count"))
-    first = met.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k).select("q_sig", "points", F.explode("few").alias("r"))
+    points = overlap_points("q_", "l_")
+    met = met.select("q_sig", "l_sig", points.alias("points"), F.element_at("l_under", points.cast("int") + 1).alias("above"), F.col("l_few")[0].alias("top"))
+    met = scratch.write(met, "met")
+    best = Window.partitionBy("q_sig").orderBy(F.desc(F.col("points") - F.col("top.loss")), F.col("top.library_id"))
+    counts = scratch.write(met.groupBy("q_sig").agg(F.sum("above").alias("candidate_count")), "counts")
+    chosen = met.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k).select("q_sig", "l_sig", "points")
+    first = chosen.join(library_sigs.select(F.col("sig").alias("l_sig"), "few"), "l_sig").select("q_sig", "points", F.explode("few").alias("r"))
     rows = first.select("q_sig", F.col("r.library_id").alias("library_id"), (F.col("points") - F.col("r.loss")).alias("score"))
     short = asked_sigs.join(counts.where(F.col("candidate_count") >= k), asked_sigs["sig"] == counts["q_sig"], "left_anti")
     rows = rows.unionByName(_fill(short, lib, k))
