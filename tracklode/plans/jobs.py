@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tracklode.functions.expr import base_name, half_even, safe_name, target_count
+from tracklode.functions.expr import half_even, safe_name, target_count
 
 # Randomisation profiles and their shares of a quota.
 PROFILES = ("wa_clean_fixed", "wa_mild_random", "wa_hard_success")
@@ -108,10 +108,6 @@ def progress(plan: DataFrame, done: DataFrame, job: str, target: str, by: list[s
     return out.withColumn("share", F.round(F.col("done") / F.greatest("target", F.lit(1)), 6))
 
 
-def config_of(task_config: Column | str) -> Column:
-    return base_name(task_config)
-
-
 def probe_passed(reports: DataFrame, column: str) -> DataFrame:
     return reports.agg(F.coalesce(F.bool_or(F.get_json_object(column, "$.probe_pass") == "true"), F.lit(False)).alias("passed"))
 

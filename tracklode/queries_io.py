@@ -312,6 +312,26 @@ def blended_similarity(spark, sf_dir):
     return W.blended_similarity(e, ["label"], ["vec_id"], "a", "b")
 
 
+@query("SELECT * FROM (VALUES ('enter', 160, 120, 24::BIGINT, 2.3::DOUBLE, true, 2::BIGINT), ('jump', 160, 120, 24, 2.3, true, 0)) v(path, width, height, frames, duration, readable, read_fails)")
+def video_figures(spark, sf_dir):
+    """Sizes and failed reads of decoded frames."""
+    frames = _clip_frames(spark).withColumn("seconds", F.col("frame_idx") / 10)
+    lost = frames.withColumn("pixels", F.when((F.col("path") != "enter") | (F.col("frame_idx") > 1), F.col("pixels")))
+    return R.video_meta(frames).join(R.read_fails(lost).drop("frames"), "path").select("path", "width", "height", "frames", "duration", "readable", "read_fails")
+
+
+@query("SELECT w AS token, count(*) AS n FROM (SELECT unnest(string_split(p_type, ' ')) AS w FROM part) GROUP BY w ORDER BY n DESC, w LIMIT 8")
+def array_counts(spark, sf_dir):
+    """A3 over arrays."""
+    return A.array_counts(table(spark, sf_dir, "part").select(F.split("p_type", " ").alias("w")), "w", top=8)
+
+
+@query("SELECT o_custkey, arg_min(o_orderkey, {'d': o_orderdate, 'k': o_orderkey}) AS o_orderkey FROM orders GROUP BY o_custkey")
+def first_orders(spark, sf_dir):
+    """The first row of each key."""
+    return S.keep_first(table(spark, sf_dir, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey")
+
+
 @query("SELECT user_id, round(max(value), 6) AS top, round(quantile_cont(value, 0.9), 6) AS p90 FROM events GROUP BY user_id")
 def robust_maxima(spark, sf_dir):
     """A29."""

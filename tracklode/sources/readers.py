@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FRAMES = "path string, frame_idx int, seconds double, height int, width int, pixels binary"
+VIDEO = "path string, width int, height int, fps double, frames int, duration double, readable boolean"
 STEPS = "path string, t int, joint array<double>, left_pose array<double>, right_pose array<double>, left_grip double, right_grip double"
 
 
@@ -183,8 +185,9 @@ def decode_hdf5(path: str, content: bytes) -> Iterator[tuple]:
             yield path, t, at(joint, t), at(lp, t), at(rp, t), at(lg, t), at(rg, t)
 
 
-def decode_video(path: str, content: bytes, indices: list[int] | None = None) -> Iterator[tuple]:
-    """Frames of a video, in the columns of ``FRAMES``. Needs cv2, which reads files only: the bytes pass through a temporary file."""
+@contextmanager
+def opened_video(content: bytes):
+    """The bytes as a capture of cv2, which reads files only: they pass through a temporary file of the executor."""
     import tempfile
 
     import cv2
@@ -193,15 +196,44 @@ def decode_video(path: str, content: bytes, indices: list[int] | None = None) ->
         tmp.write(content)
         tmp.flush()
         video = cv2.VideoCapture(tmp.name)
-        fps, wanted, k = video.get(cv2.CAP_PROP_FPS) or 0.0, None if indices is None else set(indices), 0
-        while True:
+        try:
+            yield cv2, video
+        finally:
+            video.release()
+
+
+def decode_video(path: str, content: bytes, count: int | None = None, width: int | None = None) -> Iterator[tuple]:
+    """Frames of a video, in the columns of ``FRAMES``: all, or ``count`` spread evenly, at most ``width`` wide. Needs cv2.
+
+    A frame that cannot be read has null size and pixels, so that reads that failed can be counted.
+    """
+    with opened_video(content) as (cv2, video):
+        fps, total = video.get(cv2.CAP_PROP_FPS) or 0.0, int(video.get(cv2.CAP_PROP_FRAME_COUNT) or 0)
+        wanted = range(total) if count is None or count >= total else sorted({round(i * (total - 1) / max(1, count - 1)) for i in range(count)})
+        at = 0
+        for k in wanted:
+            if k != at:
+                video.set(cv2.CAP_PROP_POS_FRAMES, k)
             ok, frame = video.read()
-            if not ok:
-                break
-            if wanted is None or k in wanted:
-                yield path, k, k / fps if fps else 0.0, frame.shape[0], frame.shape[1], frame.tobytes()
-            k += 1
-        video.release()
+            at = k + 1
+            if ok and width and frame.shape[1] > width:
+                frame = cv2.resize(frame, (width, max(1, round(frame.shape[0] * width / frame.shape[1]))), interpolation=cv2.INTER_AREA)
+            size = (frame.shape[0], frame.shape[1], frame.tobytes()) if ok else (None, None, None)
+            yield path, k, k / fps if fps else 0.0, *size
+
+
+def probe_video(path: str, content: bytes) -> Iterator[tuple]:
+    """One row in the columns of ``VIDEO``, from the container's header and the first frame alone. Needs cv2."""
+    with opened_video(content) as (cv2, video):
+        get = lambda name: video.get(getattr(cv2, f"CAP_PROP_{name}")) or 0.0
+        ok, _ = video.read()
+        fps, frames = get("FPS"), int(get("FRAME_COUNT"))
+        yield path, int(get("FRAME_WIDTH")), int(get("FRAME_HEIGHT")), float(fps), frames, frames / fps if fps else 0.0, bool(ok)
+
+
+def read_fails(frames: DataFrame) -> DataFrame:
+    """``path, frames, read_fails`` of decoded videos."""
+    return frames.groupBy("path").agg(F.count("*").alias("frames"), F.count_if(F.col("pixels").isNull()).alias("read_fails"))
 
 
 def video_meta(frames: DataFrame) -> DataFrame:

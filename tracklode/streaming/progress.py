@@ -15,9 +15,9 @@ def arriving(spark: SparkSession, path: str, like: DataFrame, files: int = 100)
 
 
 def run_once(stream: DataFrame, mode: str, path: str) -> DataFrame:
-    """What the stream gives for all that has arrived, from a Parquet table under ``path``, next to its checkpoint.
+    """What a stream of mode ``complete`` gives for all that has arrived, from a Parquet table under ``path``, next to its checkpoint.
 
-    Each batch of mode ``complete`` or ``update`` writes the whole result under its number, so a batch that runs again
+    Each batch writes the whole result under its number, so a batch that runs again
     replaces its own; nothing passes through the driver.
     """
     seen: list[int] = []
