@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -93,6 +95,26 @@ def jobs(planned: DataFrame, family: str, target: int = 5, attempts: int = 3, gp
     return made.select("job_id", "task_family", "base_task_config", F.concat_ws("__", "base_task_config", "job_id").alias("task_config"), "embodiment", "target_success", (F.col("target_success") * attempts).alias("max_attempts"), F.pmod("n", F.lit(gpus)).alias("gpu_id"))
 
 
+# Codes of a job that ended without enough, and of one that broke.
+INCOMPLETE, BROKEN = 996, 997
+
+
+def run_until(run: Callable[[], int], count: Callable[[], int], target: int, most: int) -> dict[str, int]:
+    """Runs a job again until it has its target, up to ``most`` times (once at least); a code other than 0 ends it.
+
+    ``rc`` is the job's code, 996 if it ended well with too little, 997 if it could not be run.
+    """
+    attempts, rc = 0, 0
+    try:
+        while count() < target and attempts < max(1, most) and rc == 0:
+            attempts += 1
+            rc = run()
+    except Exception:
+        rc = BROKEN
+    got = count()
+    return {"rc": INCOMPLETE if rc == 0 and got < target else rc, "attempts": attempts, "done": got}
+
+
 def done_counts(files: DataFrame, job: str = "job_id", path: str = "path", suffix: str = ".hdf5") -> DataFrame:
     return files.where(F.endswith(F.col(path), F.lit(suffix))).groupBy(job).agg(F.count("*").alias("done"))
 

@@ -6,6 +6,7 @@ Stand-in columns are made by expressions that both engines read alike, as in ``q
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -678,6 +679,55 @@ def retried_answers(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", asked("c_custkey").alias("answer"))
 
 
+@query("""SELECT p_partkey, CASE WHEN p_size % 4 = 0 THEN 'NEED_HUMAN_REVIEW' WHEN p_size % 4 = 1 THEN 'PASS' ELSE 'REJECT' END AS vlm_decision, CASE WHEN p_size % 4 = 0 THEN 0 WHEN p_size % 4 = 3 THEN 1 ELSE 0.9 END::DOUBLE AS vlm_confidence FROM part""")
+def model_verdicts(spark, sf_dir):
+    """§2.12: a backend behind the hook, which answers, answers after a correction, or never; and one without a model."""
+
+    def load():
+        def model(prompt: str) -> str:
+            size = int(prompt.split()[0])
+            if size % 4 == 0 or (size % 4 == 3 and "JSON" not in prompt):
+                return "I would say it is fine"
+            return f'so: {{"overall_decision": "{"PASS" if size % 4 == 1 else "REJECT"}", "confidence": {1 if size % 4 == 3 else 0.9}}}'
+
+        return model
+
+    part = table(spark, sf_dir, "part").select("p_partkey", F.concat_ws(" ", F.col("p_size").cast("string"), "p_name").alias("prompt"))
+    said = models.with_answer(part, "prompt", load, lambda a: "{" in a, "Answer in JSON only.")
+    return said.select("p_partkey", X.verdict("answer").alias("v")).select("p_partkey", F.col("v.overall_decision").alias("vlm_decision"), F.col("v.confidence").alias("vlm_confidence"))
+
+
+@query("""WITH i AS (SELECT n_nationkey, n_nationkey * 3 AS c, unnest(range(0, 6)) AS i FROM nation WHERE n_nationkey > 0), f AS (SELECT DISTINCT n_nationkey, CASE WHEN c <= 6 THEN CASE WHEN i < c THEN i END ELSE round_even(i * (c - 1) / 5.0, 0) END::BIGINT AS frame FROM i)
+SELECT n_nationkey, (row_number() OVER (PARTITION BY n_nationkey ORDER BY frame) - 1)::INT AS place, frame FROM f WHERE frame IS NOT NULL""")
+def frames_table_function(spark, sf_dir):
+    """§2.12: a table function in SQL."""
+    models.register_frames(spark)
+    table(spark, sf_dir, "nation").createOrReplaceTempView("clips_of_nations")
+    return spark.sql("SELECT n_nationkey, f.place, f.frame FROM clips_of_nations, LATERAL even_frames(n_nationkey * 3, 6) f")
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 996 WHEN 2 THEN 3 ELSE 997 END AS rc, CASE c_custkey % 4 WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 2 THEN 1 ELSE 1 END AS attempts, CASE c_custkey % 4 WHEN 0 THEN 2 WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE 0 END AS done FROM customer""")
+def job_attempts(spark, sf_dir):
+    """T4: jobs that reach their target, that never do, that fail, and that cannot be run."""
+
+    @F.pandas_udf("rc int, attempts int, done int")
+    def ran(keys: pd.Series) -> pd.DataFrame:
+        def one(key: int) -> dict[str, int]:
+            done = []
+
+            def run() -> int:
+                if key % 4 == 3:
+                    raise OSError("no simulator")
+                done.extend([1] * (key % 4 != 1))
+                return 3 if key % 4 == 2 else 0
+
+            return P.run_until(run, lambda: len(done), 2, 3)
+
+        return pd.DataFrame([one(k) for k in keys])
+
+    return table(spark, sf_dir, "customer").select("c_custkey", ran("c_custkey").alias("r")).select("c_custkey", "r.rc", "r.attempts", "r.done")
+
+
 @query("SELECT conv_id, turn, CASE role WHEN 'user' THEN 'a,b' ELSE 'c' END AS words FROM conversations")
 def ordered_unique(spark, sf_dir):
     """H1: trimmed, in lower case, each once, in order."""
