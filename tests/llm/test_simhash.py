@@ -176,6 +176,7 @@ def test_a_pair_counts_whatever_lies_between_its_fingerprints(spark):
 @pytest.mark.parametrize("reach,frequent", [(2, 50), (8, 0)])
 def test_keep_one_against_all_pairs(spark, monkeypatch, reach, frequent):
     monkeypatch.setattr(simhash.jaccard, "REACH", reach)
+    monkeypatch.setattr(simhash.jaccard, "PICKED", frequent * 1000)
     monkeypatch.setattr(simhash.jaccard, "FREQUENT", frequent)
     monkeypatch.setattr(simhash.jaccard, "WINDOW", 50)
     rnd = random.Random(4)
@@ -217,3 +218,31 @@ def test_planted_runs_of_changed_words_are_found(spark, length):
         near[at : at + run] = [f"u{rnd.randrange(10**6)}" for _ in range(run)]
         rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(near))]
     assert plain_kept(rows) == [2 * k for k in range(20)] == kept(spark, rows)
+
+
+def test_bits_fixed_along_a_path_leave_fewer_each_turn():
+    for bits in (0, 1, 2, 3, 7):
+        for path in range(len(simhash.segments(bits))):
+            left = [64 - bin(simhash.fixed_bits(path, bits, 0)).count("1")]
+            for turn in range(1, 5):
+                path = path * (bits + 1) + (turn % (bits + 1))
+                fixed = simhash.fixed_bits(path, bits, turn)
+                left.append(64 - bin(fixed).count("1"))
+                parts = simhash.free_segments(fixed, bits)
+                assert sum(parts) == ~fixed & (1 << 64) - 1
+            assert all(b < a or not a for a, b in zip(left, left[1:]))
+
+
+def test_a_group_over_the_cap_is_dealt_until_it_fits(spark):
+    rng = np.random.default_rng(3)
+    base = np.uint64(0x0123456789ABCDEF)
+    flips = (np.uint64(1) << rng.integers(0, 20, (400, 3)).astype(np.uint64)).astype(np.uint64)
+    fps = np.unique(np.concatenate([base ^ np.bitwise_xor.reduce(flips, axis=1), rng.integers(0, 2**63, 50).astype(np.uint64)]))
+    df = spark.createDataFrame([(simhash.signed(int(x)),) for x in fps], "fp long")
+    for bits in (1, 2):
+        got = simhash.link(df, Scratch(spark), bits, 4).collect()
+        a, b = (np.array([r[c] for r in got], np.int64).astype(np.uint64) for c in "ab")
+        assert (np.bitwise_count(a ^ b) <= bits).all()
+        i, j = np.nonzero(np.triu(np.bitwise_count(fps[:, None] ^ fps[None]) <= bits, 1))
+        mine, want = dict(zip(*map(list, forest(a, b)))), dict(zip(*map(list, forest(fps[i], fps[j]))))
+        assert mine == want

@@ -134,3 +134,19 @@ def test_same_id_with_other_text_is_cut_on_its_own(spark):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert substrings.digests(none, Scratch(spark)).count() == 0 and substrings.cut(none, Scratch(spark)).count() == 0
+
+
+def test_shingle_sets_are_those_of_plain_loops(monkeypatch):
+    monkeypatch.setattr(windows, "SLICE", 30)
+    texts = ["", "One", "one TWO three", "a b c d e f", "A  b\tc D e\nf a b c", "x " * 40, "é Ü é", "", "a b c d e"]
+    for size in (1, 3, 5):
+        sets = windows.shingle_sets(pa.array([t.encode() for t in texts], pa.binary()), size)
+        named = {}
+        for t, got in zip(texts, sets):
+            words = t.encode().lower().split()
+            runs = {b" ".join(words[k : k + size]) for k in range(max(1, len(words) - size + 1))} if words else set()
+            assert len(got) == len(runs) and list(got) == sorted(got)
+            named[t] = runs, set(got.tolist())
+        for a in texts:
+            for b in texts:
+                assert len(named[a][0] & named[b][0]) == len(named[a][1] & named[b][1])

@@ -15,8 +15,12 @@ from typing import Any
 import ahocorasick
 import regex
 
+from tracklode.llm.common import CACHES
+
 #: Fixed value: the pattern that splits text before merges, as published with the vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Marks that are one piece and one token after a word, and a bound below which letters are letters in every edition of Unicode.
+MARKS, LATIN = tuple(".,;:!?"), "\u0250"
 #: Entries that each of a memo's two generations holds.
 MEMO = 500_000
 #: Only strings up to this length are kept in a memo.
@@ -85,7 +89,7 @@ class Vocabulary:
         self.pieces = Memo(lambda piece: tuple(self.encode_piece(piece.encode())))
         self.words = Memo(self.word)
         self.tables = Memo(self.make_table)
-        self.piece_counts = Memo(lambda piece: self.make_table(piece)[-1])
+        self.piece_counts = Memo(lambda piece: self.counts(piece)[-1])
         self.word_counts = Memo(self.word_count)
 
     def word_pieces(self, word: str) -> list[str]:
@@ -95,13 +99,17 @@ class Vocabulary:
         return self.split.findall(" " + word)
 
     def word(self, word: str) -> tuple[int, ...]:
-        if word.isascii() and word.isalpha():  # one piece
+        if word.isalpha() and max(word) < LATIN:  # letters alone are one piece
             return tuple(self.encode_piece(b" " + word.encode()))
+        if word[-1:] in MARKS and word[:-1].isalpha() and max(word) < LATIN:  # and so is a mark after them
+            return (*self.words[word[:-1]], self.rank[word[-1].encode()])
         return tuple(chain.from_iterable(map(self.pieces.__getitem__, self.word_pieces(word))))
 
     def word_count(self, word: str) -> int:
-        if word.isascii() and word.isalpha():
-            return self.make_table(" " + word)[-1]
+        if word.isalpha() and max(word) < LATIN:  # letters alone are one piece
+            return self.counts(" " + word)[-1]
+        if word[-1:] in MARKS and word[:-1].isalpha() and max(word) < LATIN:  # and so is a mark after them
+            return self.word_counts[word[:-1]] + 1
         return sum(map(self.piece_counts.__getitem__, self.word_pieces(word)))
 
     # -- adjacent tokens ------------------------------------------------------------------------------
@@ -218,25 +226,30 @@ class Vocabulary:
     # -- prefix counts --------------------------------------------------------------------------------
 
     def make_table(self, piece: str) -> tuple[int, ...]:
+        return tuple(self.counts(piece))
+
+    def counts(self, piece: str) -> list[int]:
         """Token counts of the piece's first 1, 2, ... bytes, each taken as a text that no pattern splits.
 
         The last token of a prefix is the one token at its end that fits the last token of what stands
         before it; so each count is one more than a count further left.
         """
-        data, size, pairs, width = piece.encode(), self.size, self.pairs, len(self.tokens)
-        n = len(data)
-        counts, last = [0] * (n + 1), [-1] * (n + 1)
-        for end, t in self.find.iter(data.decode("latin-1")):
-            end += 1
+        data = piece if piece.isascii() else piece.encode().decode("latin-1")
+        size, known, width = self.size, self.pairs.get, len(self.tokens)
+        counts = [1] * len(data)
+        last = [-1] * len(data)  # the last token of the prefix that ends at this byte
+        for end, t in self.find.iter(data):
             if last[end] < 0:
-                start = end - size[t]
-                if start:
-                    before = last[start]
-                    ok = pairs.get(before * width + t)
-                    if not (self.adjoin(before, t) if ok is None else ok):
+                before = end - size[t]
+                if before >= 0:
+                    ok = known(last[before] * width + t)
+                    if ok is None:
+                        ok = self.adjoin(last[before], t)
+                    if not ok:
                         continue
-                last[end], counts[end] = t, counts[start] + 1
-        return tuple(counts[1:])
+                    counts[end] = counts[before] + 1
+                last[end] = t
+        return counts
 
     def runs(self, text: str) -> list[str]:
         """The text between special strings; each special string is one token."""
@@ -329,4 +342,5 @@ def vocabulary(path: str) -> Vocabulary:
     """The vocabulary at a path, read once a process."""
     if path not in _LOADED:
         _LOADED[path] = Vocabulary(*read_ranks(path))
+    CACHES["bpe"] = _LOADED.clear
     return _LOADED[path]

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from tracklode.sources.scratch import Scratch, scratch_path
 
-__all__ = ["Scratch", "scratch_path", "components", "forest", "map_rows", "small_batches"]
+__all__ = ["Scratch", "scratch_path", "components", "forest", "map_rows", "only", "release", "small_batches"]
 
 #: Rows and bytes of a batch that a Python worker holds at once; long texts make rows of 100 kB and more.
-ARROW_ROWS, ARROW_BYTES = 1024, 16 << 20
+ARROW_ROWS, ARROW_BYTES = 1024, 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -27,7 +27,28 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
-def map_rows(df: DataFrame, columns: list[str], schema: str, kernel: Callable[[], Callable[..., Iterable[tuple]]]) -> DataFrame:
+#: What empties the tables and memos that modules keep in a worker, by module.
+CACHES: dict[str, Callable[[], None]] = {}
+
+
+def release() -> None:
+    """Hands freed memory back to the system: workers live on between tasks, next to those of other stages."""
+    import ctypes
+
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def only(user: str) -> None:
+    """Empties what other modules than ``user`` keep in this worker. Kernels call it as they begin, so that a stage does not run next
+    to the memos of the stage before."""
+    for name in [n for n in CACHES if n != user]:
+        CACHES.pop(name)()
+        release()
+
+
+def map_rows(df: DataFrame, columns: list[str], schema: str, kernel: Callable[[], Callable[..., Iterable[tuple]]], user: str = "rows") -> DataFrame:
     """Applies ``kernel()``'s function to the columns of each Arrow batch, as lists; it gives output rows.
 
     ``kernel`` runs once a task, so that tables and caches are built once and held by no closure.
@@ -39,6 +60,7 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, kernel: Callable[[]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
+        only(user)
         # memos of millions of tuples hold no cycles, and scans of them take most of the time
         arrow, apply, collected = to_arrow_schema(target), kernel(), gc.isenabled()
         gc.disable()
@@ -50,6 +72,7 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, kernel: Callable[[]
         finally:
             if collected:
                 gc.enable()
+            release()
 
     return df.select(*columns).mapInArrow(run, schema)
 
@@ -110,6 +133,7 @@ def components(edges: DataFrame, scratch: Scratch, local_edges: int = 500_000) -
         x, y = move.select(F.col("node").alias("node"), F.col("root").alias("a")), move.select(F.col("node").alias("root"), F.col("root").alias("b"))
         pairs = scratch.write(starred.join(x, "node").join(y, "root").select("a", "b").where("a <> b").distinct(), "edges")
         scratch.drop(starred)
+        scratch.sweep()
     else:
         raise RuntimeError("the components did not settle")
     found = moves.pop()

@@ -17,12 +17,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklode.llm.common import small_batches
+from tracklode.llm.common import only, release, small_batches
 
 BITS = 18
 SIZE = 1 << BITS
@@ -42,6 +43,7 @@ class Grams(dict):
     """Distinct feature buckets of a text. Words map to rows of ``codes``, the hashes of word and shape."""
 
     def __init__(self, limit: int = 600_000):
+        only("quality")
         self.codes = np.zeros((limit, 2), np.uint64)
         self.shapes: dict[str, int] = {}
 
@@ -66,9 +68,9 @@ class Grams(dict):
                 self.codes = np.zeros((len(words), 2), np.uint64)
         w, s = self.codes[np.array([self[x] for x in words], dtype=np.int32)].T
         s2 = s[:-1] * MIX + s[1:]
-        form = np.unique(np.concatenate([s, s2 + np.uint64(5), (s2[:-1] * MIX + s[2:]) + np.uint64(7)]) * MIX >> np.uint64(64 - BITS))
-        word = np.concatenate([w, w[:-1] * MIX + w[1:] + np.uint64(3)]) * MIX >> np.uint64(64 - BITS)
-        return np.unique(np.concatenate([form, word])).astype(np.int64)
+        codes = np.concatenate([s, s2 + np.uint64(5), s2[:-1] * MIX + s[2:] + np.uint64(7), w, w[:-1] * MIX + w[1:] + np.uint64(3)])
+        found = np.sort((codes * MIX >> np.uint64(64 - BITS)).astype(np.int32))
+        return found[np.append(True, found[1:] != found[:-1])].astype(np.int64)
 
 
 def held_out(id_col: str = "doc_id"):
@@ -195,8 +197,17 @@ def train(
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(got, pa.binary())], names=["doc_id", "y", "buckets"])
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = sorted((x for b in batches for x in zip(*(b.column(k).to_pylist() for k in range(3)))), key=lambda x: (x[0], x[2], x[1]))
-        model = fit_rows([np.frombuffer(x, np.int32) for _, _, x in got], np.array([y for _, y, _ in got], np.int64), ratio, cost)
+        got = list(batches)
+        table = pa.Table.from_batches(got, got[0].schema if got else pa.schema({"doc_id": pa.int64(), "y": pa.int32(), "buckets": pa.binary()}))
+        table = table.sort_by([("doc_id", "ascending"), ("buckets", "ascending"), ("y", "ascending")]).combine_chunks()
+        del got
+        sizes = np.array(pc.binary_length(table["buckets"])) // 4
+        flat = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(x.as_buffer(), np.int32) for x in table["buckets"])])
+        label = table["y"].to_numpy().astype(np.int64)
+        del table
+        model = fit_rows(flat, np.append(0, np.cumsum(sizes)).astype(np.int64), label, ratio, cost)
+        del flat
+        release()
         yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (model.scaled, model.square, np.array([model.bias, model.slope, model.offset]))], names=["scaled", "square", "rest"])
 
     share = min(1.0, max_fit_rows / (n_neg + n_pos), max_fit_features / max(1, features_in_all))
@@ -206,13 +217,17 @@ def train(
     return Model(scaled, square, *map(float, rest))
 
 
-def fit_rows(at: list[np.ndarray], label: np.ndarray, ratio: np.ndarray, cost: float) -> Model:
-    """The model of rows given as distinct buckets, in the order given, with labels 0 or 1.
+def fit_rows(flat: np.ndarray, ends: np.ndarray, label: np.ndarray, ratio: np.ndarray, cost: float) -> Model:
+    """The model of rows of distinct buckets, ``flat[ends[i] : ends[i + 1]]`` of row i, in the order given, with labels 0 or 1.
 
     Each class has the same total cost. Three folds give the margins that the logistic curve goes through.
     """
     y = np.where(label == 1, 1.0, -1.0)
-    values = [ratio[b] / max(1e-12, np.sqrt((ratio[b] ** 2).sum())) for b in at]
+    scaled = ratio[flat]
+    at = [flat[a:b] for a, b in zip(ends, ends[1:])]
+    values = [scaled[a:b] for a, b in zip(ends, ends[1:])]
+    for v in values:
+        v /= max(1e-12, np.sqrt((v**2).sum()))
     weight = np.where(y > 0, cost * len(y) / (2 * max(1, (y > 0).sum())), cost * len(y) / (2 * max(1, (y < 0).sum())))
     fold, margin = np.arange(len(y)) % 3, np.zeros(len(y))
     for k in range(3):

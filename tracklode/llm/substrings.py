@@ -266,6 +266,9 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, window: int = 20) -> DataF
     both = spans.unionAll(rest.select("k", "v", F.col("s").alias("a"), (F.col("s") + window).alias("e")))
     out = scratch.write(both.groupBy("k", "v").agg(F.collect_list(F.struct("a", "e")).alias("spans")), "spans")
     scratch.drop(held, firsts, spans, asked)
+    for bits in sieves:
+        if bits is not None:
+            bits.destroy()
     scratch.sweep()
     return out
 

@@ -38,7 +38,7 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, limit: int = 1024, id_co
         return rows
 
     picked = docs.select(F.col(id_col).alias("doc_id"), _text(text_col))
-    return map_rows(picked, ["doc_id", "text"], "doc_id long, n_bytes long, n_tokens long, over_limit boolean", kernel)
+    return map_rows(picked, ["doc_id", "text"], "doc_id long, n_bytes long, n_tokens long, over_limit boolean", kernel, "bpe")
 
 
 def prefix_tables(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -49,7 +49,7 @@ def prefix_tables(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
         return lambda ids, texts: ((i, t, v.prefix_counts(t)) for i, t in zip(ids, texts))
 
     picked = docs.select(F.col(id_col).alias("doc_id"), _text(text_col))
-    return map_rows(picked, ["doc_id", "text"], "doc_id long, text string, counts array<int>", kernel)
+    return map_rows(picked, ["doc_id", "text"], "doc_id long, text string, counts array<int>", kernel, "bpe")
 
 
 def truncate(tables: DataFrame, budget: int) -> DataFrame:
@@ -69,7 +69,7 @@ def encode(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_c
         return lambda ids, texts: ((i, v.encode(t)) for i, t in zip(ids, texts))
 
     picked = docs.select(F.col(id_col).alias("doc_id"), _text(text_col))
-    return map_rows(picked, ["doc_id", "text"], "doc_id long, ids array<int>", kernel)
+    return map_rows(picked, ["doc_id", "text"], "doc_id long, ids array<int>", kernel, "bpe")
 
 
 def decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
@@ -79,7 +79,7 @@ def decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
         v = vocabulary(vocabulary_path)
         return lambda ids, tokens: ((i, v.decode(t or [])) for i, t in zip(ids, tokens))
 
-    return map_rows(encoded, ["doc_id", "ids"], "doc_id long, data binary", kernel)
+    return map_rows(encoded, ["doc_id", "ids"], "doc_id long, data binary", kernel, "bpe")
 
 
 def digests(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -97,4 +97,4 @@ def digests(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_
         return rows
 
     picked = docs.select(F.col(id_col).alias("doc_id"), _text(text_col))
-    return map_rows(picked, ["doc_id", "text"], "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", kernel)
+    return map_rows(picked, ["doc_id", "text"], "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", kernel, "bpe")

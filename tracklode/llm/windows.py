@@ -13,6 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
+from tracklode.llm.common import CACHES, only
+
 #: Odd multipliers of the families: for bytes, and for words.
 FAMILIES = ((0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93), (0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F))
 #: Bytes that are looked at together; one longer row is taken whole.
@@ -23,6 +25,8 @@ SPAN = 1 << 18
 PLACE = np.uint64(31)
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -36,8 +40,9 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
             steps[0] = 1
             pair.append(np.cumprod(steps))
         known = tuple(pair)
-        if size <= 1 << 23:
+        if size <= 1 << 21:
             _POWERS[base] = known
+            CACHES["windows"] = _POWERS.clear
     return known
 
 
@@ -89,8 +94,9 @@ def ranges(hashes: np.ndarray, start: np.ndarray, end: np.ndarray, family: int)
     return mixed((total[end] - total[start]) * inverse[start], by)
 
 
-def sliced(column: pa.Array) -> Iterator[Words]:
-    """The words of a binary column without nulls, some rows at a time."""
+def sliced(column: pa.Array, lower: bool = False) -> Iterator[Words]:
+    """The words of a binary column without nulls, some rows at a time; with ``lower`` A to Z are taken for a to z."""
+    only("windows")
     column = column.cast(pa.large_binary())
     _, offsets, values = column.buffers()
     offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
@@ -100,6 +106,7 @@ def sliced(column: pa.Array) -> Iterator[Words]:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + SLICE, "right")) - 1)
         low, high = int(offsets[i]), int(offsets[j])
         part, rows = data[low:high], offsets[i : j + 1] - low
+        part = _LOWER[part] if lower else part
         blank = _BLANK[part]
         before = np.empty(len(part), bool)
         if len(part):
@@ -150,3 +157,16 @@ def blocks(words: Words, hashes: np.ndarray, window: int, core: int) -> tuple[np
     good = inside[start]
     start, count = start[good], count[good]
     return anchor[place[start]], place[start], start, count
+
+
+def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
+    """The distinct hashes of each row's runs of ``size`` lower-cased words, in order; a row of fewer words has one, of all of
+    them, and a row without words none."""
+    out = []
+    for words in sliced(column, lower=True):
+        hashes, count = words.hashes(0), words.row_end - words.row_start
+        made = np.where(count > size, count - size + 1, np.minimum(count, 1))
+        start = np.repeat(words.row_start, made) + np.arange(made.sum()) - np.repeat(np.cumsum(made) - made, made)
+        found = ranges(hashes, start, np.minimum(start + size, np.repeat(words.row_end, made)), 0)
+        out += map(np.unique, np.split(found, np.cumsum(made)[:-1]))
+    return out
