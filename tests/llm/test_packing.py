@@ -60,3 +60,13 @@ def test_long_text(spark):
     df = spark.createDataFrame([(1, "word " * 100_000)], "doc_id long, text string")
     out = packing.pack(df, Scratch(spark)).collect()
     assert len(out) == 49 and sum(r.length for r in out) == 100_000
+
+
+def test_rows_without_ids(spark):
+    df = spark.createDataFrame([(None, "w " * (i % 50)) for i in range(300)], "doc_id long, text string")
+    out = packing.pack(df, Scratch(spark), context=40, buckets=2, budget=200, part_rows=10).collect()
+    assert sum(r.length for r in out) == sum(i % 50 for i in range(300)) and {r.doc_id for r in out} == {None}
+    batches = {}
+    for r in out:
+        batches.setdefault((r.bucket, r.batch), []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) and len(s) <= max(1, 200 // b) for (b, _), s in batches.items())

@@ -25,7 +25,10 @@ def test_each_stage_on_what_the_one_before_kept(spark, tmp_path):
                 assert r.n_chars == len(r.text)
         else:
             assert {r.doc_id for r in out.collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
-            assert sum(r.length for r in out.collect()) == sum(len(r.text.encode().split()) for r in docs.collect())
+            from tracklode.llm import tokens
+
+            counted = tokens.count_tokens(docs, corpus_pipeline.vocabulary_path(corpus_pipeline.VOCABULARY))
+            assert sum(r.length for r in out.collect()) == sum(r.n_tokens for r in counted.collect())
         docs = out
 
 

@@ -4,7 +4,7 @@ Documents over the context length are cut to pieces of at most that many tokens,
 has at most ``context + 1`` bins however large the corpus; only it goes to the driver. Dynamic programming over it picks the bucket
 boundaries of least padding. Inside a bucket pieces are numbered and each run of ``budget // boundary`` pieces is a
 batch. Numbers come from two levels: ranks within hashed parts of a bucket, and sums of the parts before, so that no
-task holds a whole bucket.
+task holds a whole bucket. Parts are dealt by id, piece and length, so rows without an id, or of one id, are spread too.
 """
 
 from __future__ import annotations
@@ -71,7 +71,7 @@ def pack(docs: DataFrame, scratch: Scratch, length: Column | None = None, contex
     parts = max(1, -(-sum(r["n"] for r in histogram) // part_rows))
     limits = F.array(*(F.lit(b).cast("long") for b in bounds))
     bucket = F.element_at(F.filter(limits, lambda b: b >= F.col("length")), 1)
-    placed = pieces.withColumn("bucket", bucket).withColumn("part", F.pmod(F.coalesce(F.col("doc_id"), F.lit(0)) % 1_000_003 * 7919 + F.col("piece"), F.lit(parts)))
+    placed = pieces.withColumn("bucket", bucket).withColumn("part", F.pmod(F.coalesce(F.col("doc_id"), F.lit(0)) % 1_000_003 * 7919 + F.col("piece") + F.col("length") * 104_729, F.lit(parts)))
     sizes = placed.groupBy("bucket", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("bucket", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))

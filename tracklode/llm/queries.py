@@ -67,8 +67,9 @@ def _cleaned(rows: DataFrame, key: str, host: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Web pages by host."""
-    return _cleaned(lines.site_pages(table(spark, sf_dir, "pages")), "page_id", "host")
+    """Web pages by host. Their texts are written once, as the operator reads them twice."""
+    pages = Scratch(spark).write(lines.site_pages(table(spark, sf_dir, "pages")), "site-pages")
+    return _cleaned(pages, "page_id", "host")
 
 
 def line_dedup_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,7 +176,7 @@ h0 AS (SELECT j, rows FROM h UNION ALL SELECT 0, 0), top AS (SELECT max(j) AS j
 {", ".join(steps)}, ends AS ({ends}), {", ".join(walk)},
 bounds AS (SELECT DISTINCT h.length AS bound FROM ({bounds}) x JOIN h ON x.j = h.j),
 parts AS (SELECT greatest(1, (count(*) + {part_rows - 1}) // {part_rows}) AS n FROM p),
-placed AS (SELECT p.*, (SELECT min(bound) FROM bounds WHERE bound >= p.length) AS bucket, (coalesce(doc_id, 0) % 1000003 * 7919 + piece) % (SELECT n FROM parts) AS part FROM p),
+placed AS (SELECT p.*, (SELECT min(bound) FROM bounds WHERE bound >= p.length) AS bucket, (coalesce(doc_id, 0) % 1000003 * 7919 + piece + length * 104729) % (SELECT n FROM parts) AS part FROM p),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY part, doc_id, piece, length) - 1 AS number, greatest(1, {budget} // greatest(bucket, 1)) AS room FROM placed)
 SELECT doc_id, piece, start, length, bucket::BIGINT AS bucket, (bucket - length)::BIGINT AS padding, (number // room)::BIGINT AS batch, (number % room)::INT AS slot FROM numbered
 """
