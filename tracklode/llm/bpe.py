@@ -49,14 +49,14 @@ class Memo(dict):
     """Values by key, made on first use; when full, the entries become the old generation, which goes next."""
 
     def __init__(self, make: Callable[[str], Any]):
-        self.make, self.old = make, {}
+        self.make, self.old, self.share = make, {}, 1.0
 
     def __missing__(self, key: str):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
         if len(key) <= MEMO_CHARS:
-            if len(self) >= MEMO:
+            if len(self) >= MEMO * self.share:
                 self.old = dict(self)
                 self.clear()
             self[key] = value

@@ -35,7 +35,7 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), memo=3.0)
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lengths are exact token counts; the token budget and the context are those of the vocabulary."""
-    counted = tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
+    counted = tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), memo=3.0)
     return packing.pack(counted, Scratch(spark), length=F.col("n_tokens"))
 
 
