@@ -74,7 +74,7 @@ def test_the_cutoff_skips_rows_and_only_misses_are_looked_up(spark, monkeypatch)
     given = got["entries"].agg(length("at")).first()[0]
     looked, whole = (got["lacking"].where(f"whole = {w}").agg(length("at")).first()[0] or 0 for w in (0, 1))
     assert given < 2 * pairs / 10 and looked + 2 * whole == given and whole > 0
-    assert got["scored"].count() <= 30 * 8
+    assert 30 * 5 <= got["scored"].count() < given / 4  # the cutoff is a lower bound, so more than k rows may reach it
     assert sorted(map(tuple, topk.search(df, Scratch(spark), every=100).collect())) == plain(data, 100, 5)
 
 
