@@ -6,6 +6,9 @@ frequent in a sample come last, which keeps groups small. Shingles and texts are
 
 A group is sorted by size of set. Rounds look at pairs that lie further and further apart in it, and leave out only
 those that verified links of earlier rounds already join, so the components are those of all similar pairs.
+
+Of most pairs that meet, the texts never travel: a text's sketch counts its shingles by the low bits of their hashes,
+and sets differ by at least as many shingles as their sketches do. Pairs that pass are checked in parts of bounded size.
 """
 
 from __future__ import annotations
@@ -35,6 +38,10 @@ BLOCK = 256
 PICKED = 200_000
 #: Candidate pairs given at a time.
 GIVE = 1 << 16
+#: Counts in a sketch, a byte each.
+BUCKETS = 512
+#: Bytes of sketches or of texts that are sent for pairs at a time: this share of all texts, or this many if that is more.
+SHARE, ROOM = 0.5, 64 << 20
 
 
 def prefix(shingles: np.ndarray, least: float, last: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -124,27 +131,104 @@ def candidates(rows: DataFrame, low: int, high: int, least: float) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(run, "key long, a long, b long, n int, at int")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
-    """Those of the (written) pairs of nodes whose texts are similar. Texts travel, as they are smaller than their sets; where
-    few nodes are in pairs, only theirs do."""
+def sketches(texts: DataFrame, size: int) -> DataFrame:
+    """``node, n, bytes, counts`` of texts: shingles, length, and the shingles whose hashes end in each value, 255 at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = shingle_sets(batch.column(1), size)
+            counts = [np.minimum(np.bincount((x % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS), 255).astype(np.uint8).tobytes() for x in got]
+            cols = pa.array([len(x) for x in got], pa.int32()), batch.column(2), pa.array(counts, pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["node", "n", "bytes", "counts"])
+
+    return texts.select("node", "text", F.length("text").cast("long").alias("bytes")).mapInArrow(run, "node long, n int, bytes long, counts binary")
+
+
+def in_parts(pairs: DataFrame, sent: float, marks: DataFrame) -> list[DataFrame]:
+    """The pairs dealt out so that each part sends no more of the ``sent`` bytes than there is room for."""
+    room = max(ROOM, SHARE * (marks.agg(F.sum("bytes")).first()[0] or 0))
+    parts = max(1, math.ceil(sent / room))
+    return [pairs] if parts == 1 else [pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(parts)) == k) for k in range(parts)]
+
+
+def still_open(pairs: DataFrame, marks: DataFrame, least: float) -> DataFrame:
+    """``a, b, bytes`` of the pairs whose sketches leave it open that their texts are similar, with the length of both."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16) for c in ("of_a", "of_b"))
+            differ = np.abs(x - y).sum(axis=1)
+            most = batch.column("n").to_numpy() * (1 - least) / (1 + least)
+            yield batch.select(["a", "b", "bytes"]).filter(pa.array(differ <= most + EPS))
+
+    left, right = (marks.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bytes").alias(f"bytes_{c}"), F.col("counts").alias(f"of_{c}")) for c in "ab")
+    both = pairs.join(left, "a").join(right, "b")
+    both = both.select("a", "b", (F.col("bytes_a") + F.col("bytes_b")).alias("bytes"), (F.col("n_a") + F.col("n_b")).alias("n"), "of_a", "of_b")
+    return both.mapInArrow(check, "a long, b long, bytes long")
+
+
+def similar(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
+    """Those of the pairs of nodes whose texts are similar. Texts travel, as they are smaller than their sets, once for each pair;
+    where few nodes are in pairs, only theirs do."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     if nodes.count() <= PICKED:
         texts = texts.join(F.broadcast(nodes), "node", "left_semi")
 
+    def solve(rows: pa.Table) -> pa.RecordBatch:
+        # two rows a pair, but where texts repeat
+        a, b, node = (rows.column(c).to_numpy() for c in ("a", "b", "node"))
+        at = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (node[1:] != node[:-1])))
+        sets, keep = shingle_sets(rows.column("text").take(at).combine_chunks(), size), []
+        for x, y in zip(sets[::2], sets[1::2]):
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            keep.append(both >= least * (len(x) + len(y) - both) - EPS)
+        keep = at[::2][np.array(keep, bool)]
+        return pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in batches:
-            keep = []
-            for x, y in zip(*(shingle_sets(batch.column(k), size) for k in (2, 3))):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= least * (len(x) + len(y) - both) - EPS)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            a, b = (rows.column(c).to_numpy() for c in "ab")
+            last = int(np.argmax((a == a[-1]) & (b == b[-1])))
+            if last:
+                yield solve(rows.slice(0, last))
+            held = rows.slice(last)
+        if held is not None:
+            yield solve(held)
+
+    sent = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node")).join(texts, "node").select("a", "b", "node", "text")
+    return sent.repartition("a", "b").sortWithinPartitions("a", "b", "node").mapInArrow(check, "a long, b long")
+
 
-    left, right = (texts.select(F.col("node").alias(c), F.col("text").alias(f"of_{c}")) for c in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b").mapInArrow(check, "a long, b long")
+def verified(pairs: DataFrame, texts: DataFrame, marks: DataFrame, scratch: Scratch, size: int, least: float) -> DataFrame:
+    """Those of the (written) pairs of nodes whose texts are similar, all of them, in turns that send a bounded part each."""
+    found, links = [], []
+    for part in in_parts(pairs, 2 * BUCKETS * pairs.count(), marks):
+        found.append(scratch.write(still_open(part, marks, least), "open"))
+        scratch.sweep()
+    left = union(found)
+    for part in in_parts(left, left.agg(F.sum("bytes")).first()[0] or 0, marks):
+        links.append(scratch.write(similar(part, texts, size, least), "links"))
+        scratch.sweep()
+    scratch.drop(*found)
+    return union(links)
+
+
+def union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for more in tables[1:]:
+        out = out.unionAll(more)
+    return out
 
 
 def joined(texts: DataFrame, scratch: Scratch, size: int, least: float) -> DataFrame:
     """``node, root`` of the components of all similar pairs of ``node, text`` (binary) by shingles of ``size`` words."""
+    marks = scratch.write(sketches(texts, size), "sketches")
+    scratch.sweep()
     every = max(1, texts.count() // SAMPLE)
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,18 +258,15 @@ def joined(texts: DataFrame, scratch: Scratch, size: int, least: float) -> DataF
     found = scratch.write(candidates(rows, 1, REACH, least), "candidates")
     scratch.sweep()
     pairs = scratch.write(found.where("b is not null").select("a", "b").distinct(), "pairs")
-    links = scratch.write(verified(pairs, texts, size, least), "links")
+    links = verified(pairs, texts, marks, scratch, size, least)
     scratch.drop(pairs)
-    scratch.sweep()
     wide = found.where("b is null").select("key", F.col("a").alias("node"), "n", "at")
     largest = wide.groupBy("key").count().agg(F.max("count")).first()[0] or 0
     roots, low = components(links, scratch), REACH
     while low < largest:
         labelled = wide.join(roots, "node", "left").select("key", "node", "n", "at", F.coalesce("root", "node").alias("comp"))
         pairs = scratch.write(candidates(labelled, low, low * REACH, least).select("a", "b").distinct(), "candidates")
-        more = scratch.write(verified(pairs, texts, size, least), "links")
+        links = links.unionAll(verified(pairs, texts, marks, scratch, size, least))
         scratch.drop(pairs)
-        scratch.sweep()
-        links = links.unionAll(more)
         roots, low = components(links, scratch), low * REACH
     return roots
