@@ -246,3 +246,27 @@ def test_a_group_over_the_cap_is_dealt_until_it_fits(spark):
         i, j = np.nonzero(np.triu(np.bitwise_count(fps[:, None] ^ fps[None]) <= bits, 1))
         mine, want = dict(zip(*map(list, forest(a, b)))), dict(zip(*map(list, forest(fps[i], fps[j]))))
         assert mine == want
+
+
+def planted(n, length=300):
+    """Texts and copies with another word, whose fingerprints differ by at most five bits."""
+    rnd, rows = random.Random(6), []
+    while len(rows) < 2 * n:
+        base = [f"t{rnd.randrange(10**6)}" for _ in range(length)]
+        pair = " ".join(base), " ".join([*base[:70], "other", *base[71:]])
+        if 0 < bin(plain_fingerprint(pair[0], 3) ^ plain_fingerprint(pair[1], 3)).count("1") <= 5:
+            rows += [(len(rows) + k, t) for k, t in enumerate(pair)]
+    return rows
+
+
+def test_keep_one_takes_its_candidates_from_fingerprints(spark, monkeypatch):
+    plain = simhash.jaccard.candidates
+    monkeypatch.setattr(simhash.jaccard, "candidates", lambda rows, *rest: plain(rows, *rest).where("b is null"))
+    rows = planted(4)
+    assert kept(spark, rows) == plain_kept(rows) == [0, 2, 4, 6]
+
+
+def test_pairs_that_fingerprints_join_are_not_looked_at_again(spark, monkeypatch):
+    looked, plain = [], simhash.jaccard.verified
+    monkeypatch.setattr(simhash.jaccard, "verified", lambda pairs, *rest: looked.append(pairs.count()) or plain(pairs, *rest))
+    assert kept(spark, planted(1)) == [0] and looked == [1, 0]

@@ -4,7 +4,8 @@ The shingles of all texts are put in one order. Two sets that are similar enough
 ``n - ceil(least * n) + 1`` of each, so texts meet in the groups of these. Any order gives the same pairs; shingles
 frequent in a sample come last, which keeps groups small. Shingles and texts are told apart by 64 bits of hash.
 
-A group is sorted by size of set. Rounds look at pairs that lie further and further apart in it, and leave out only
+Pairs that are near by another measure can be given beforehand; they are checked first, and what they join is not looked at
+again. A group is sorted by size of set. Rounds look at pairs that lie further and further apart in it, and leave out only
 those that verified links of earlier rounds already join, so the components are those of all similar pairs.
 
 Of most pairs that meet, the texts never travel: a text's sketch counts its shingles by the low bits of their hashes,
@@ -225,10 +226,22 @@ def union(tables: list[DataFrame]) -> DataFrame:
     return out
 
 
-def joined(texts: DataFrame, scratch: Scratch, size: int, least: float) -> DataFrame:
-    """``node, root`` of the components of all similar pairs of ``node, text`` (binary) by shingles of ``size`` words."""
+def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Those of the pairs that ``roots`` do not join."""
+    for c in "ab":
+        pairs = pairs.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left")
+    return pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
+def joined(texts: DataFrame, near: DataFrame, scratch: Scratch, size: int, least: float) -> DataFrame:
+    """``node, root`` of the components of all similar pairs of ``node, text`` (binary) by shingles of ``size`` words.
+
+    ``near`` are (written) pairs ``a, b`` that are checked first. Those that they miss are found by the prefix filter.
+    """
     marks = scratch.write(sketches(texts, size), "sketches")
     scratch.sweep()
+    links = verified(near, texts, marks, scratch, size, least)
+    roots = components(links, scratch)
     every = max(1, texts.count() // SAMPLE)
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,8 +270,8 @@ def joined(texts: DataFrame, scratch: Scratch, size: int, least: float) -> DataF
     rows = texts.select("node", "text").mapInArrow(index, "key long, node long, n int, at int, comp long")
     found = scratch.write(candidates(rows, 1, REACH, least), "candidates")
     scratch.sweep()
-    pairs = scratch.write(found.where("b is not null").select("a", "b").distinct(), "pairs")
-    links = verified(pairs, texts, marks, scratch, size, least)
+    pairs = scratch.write(apart(found.where("b is not null").select("a", "b").distinct(), roots), "pairs")
+    links = links.unionAll(verified(pairs, texts, marks, scratch, size, least))
     scratch.drop(pairs)
     wide = found.where("b is null").select("key", F.col("a").alias("node"), "n", "at")
     largest = wide.groupBy("key").count().agg(F.max("count")).first()[0] or 0

@@ -338,11 +338,26 @@ def distinct_texts(docs: DataFrame, distinct: DataFrame, scratch: Scratch) -> Da
     return scratch.write(named.unionAll(nameless.join(only, "node", "left_semi").dropDuplicates(["node"])), "words")
 
 
-def keep_one(docs: DataFrame, scratch: Scratch, shingle: int = 5, least: float = 0.8) -> DataFrame:
+def near_pairs(words: DataFrame, scratch: Scratch, bits: int, size: int = 3) -> DataFrame:
+    """Pairs ``a, b`` of ``node, text`` that join the nodes whose fingerprints chains of near ones join; nothing is checked here."""
+    prints = scratch.write(fingerprints(words.select(F.col("node").alias("doc_id"), "text"), size), "fingerprints")
+    first = scratch.write(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "first")
+    same = prints.join(first, "fp").where("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b"))
+    across = link(first, scratch, bits)
+    for c in "ab":
+        across = across.join(first.select(F.col("fp").alias(c), F.col("low").alias(f"low_{c}")), c)
+    across = across.select(F.least("low_a", "low_b").alias("a"), F.greatest("low_a", "low_b").alias("b"))
+    pairs = scratch.write(same.unionAll(across).distinct(), "near")
+    scratch.sweep()
+    return pairs
+
+
+def keep_one(docs: DataFrame, scratch: Scratch, shingle: int = 5, least: float = 0.8, bits: int = 5) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id, with its columns.
 
-    Texts are linked if their word shingles have a similarity of ``least`` or more: all such pairs are found and checked
-    (``jaccard``). Only texts of the same words in the same order are copies without a check. Rows without words or without an id are all kept.
+    Candidates are texts whose fingerprints differ by at most ``bits``, by the deletion variants of this module. They are linked
+    if their word shingles have a similarity of ``least`` or more. Similar pairs whose fingerprints lie further apart, or that
+    the forest of fingerprints leaves out, are then found and checked by ``jaccard``, so no link is lost. Only texts of the same words in the same order are copies without a check. Rows without words or without an id are all kept.
     """
     worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     texts = docs.where(worded).select("doc_id", F.col("text").cast("binary").alias("text"))
@@ -352,7 +367,9 @@ def keep_one(docs: DataFrame, scratch: Scratch, shingle: int = 5, least: float =
 
     prints = scratch.write(map_rows(texts, ["doc_id", "text"], "doc_id long, fp long", kernel), "texts")
     distinct = scratch.write(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
-    root = jaccard.joined(distinct_texts(texts, distinct, scratch), scratch, shingle, least)
+    words = distinct_texts(texts, distinct, scratch)
+    scratch.sweep()
+    root = jaccard.joined(words, near_pairs(words, scratch, bits), scratch, shingle, least)
     found = _labelled(prints, distinct, root, scratch)
     doubles = found.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(doubles, "doc_id", "left_anti")
