@@ -143,3 +143,26 @@ def test_retries():
     answers = iter(["bad", "worse", "ok"])
     assert T.retried(lambda p: next(answers), "p", lambda a: a == "ok", "again") == "ok"
     assert T.retried(lambda p: "bad", "p", lambda a: False, "again", default="none") == "none"
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_stream_windows_of_odd_times(spark, tmp_path, zone, kind):
+    """Next to the SQL: zones that skip and repeat an hour, the last half millisecond of an hour, times before 1970, rows without a time, a type or a value."""
+    import duckdb
+
+    from tracklode import queries as own
+
+    times = ["2024-03-10 02:30:00", "2024-11-03 01:30:00.5", "2024-11-03 02:00:00", "2024-01-01 00:59:59.9995", "2024-01-01 00:59:59.999499", "1970-01-01 00:59:59.999999", "1970-01-01 00:00:00"]
+    times += ["1969-12-31 23:59:59.999999", "1969-12-31 23:00:00.0005", "1969-12-31 23:00:00.000501", "1969-12-31 22:59:59.9999", "1969-12-31 22:00:00", "1850-05-05 05:05:05.000005", None]
+    rows = [(i, t, None if i % 7 == 3 else "ab"[i % 2], None if i % 5 == 1 else i / 4) for i, t in enumerate(times * 4)]
+    df = spark.createDataFrame(rows, "event_id long, ts string, event_type string, value double").withColumn("ts", F.col("ts").cast(kind))
+    df.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        got = [tuple(r) for r in own.queries()["stream_windows"](spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert sorted(got, key=str) == sorted(con.execute(own.oracle_sql()["stream_windows"]).fetchall(), key=str)

@@ -59,8 +59,16 @@ def append_new(stream: DataFrame, key: str, sink: str, work: Callable[[DataFrame
     stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def utc_micros(df: DataFrame, time: str) -> Column:
+    """Microseconds since 1970 of a time column; a clock without zone is that of UTC, whatever the session's zone."""
+    if dict(df.dtypes)[time] != "timestamp_ntz":
+        return F.unix_micros(F.col(time).cast("timestamp"))
+    minutes = F.unix_date(F.col(time).cast("date")).cast("long") * 1440 + F.hour(time) * 60 + F.minute(time)
+    return minutes * 60_000_000 + (F.expr(f"extract(SECOND FROM `{time}`)") * 1_000_000).cast("long")
+
+
 def tumbling(stream: DataFrame, time: str, width: str, by: list[str], value: str, late: str = "10 minutes") -> DataFrame:
-    """Counts and sums by window of a fixed width; rows later than the watermark are dropped."""
+    """Counts and sums by window of a fixed width; rows later than the watermark are dropped, and rows without a time have no window."""
     w = F.window(time, width)
     return stream.withWatermark(time, late).groupBy(w, *by).agg(F.count("*").alias("n"), F.sum(value).alias("total")).select(F.col("window.start").alias("start"), *by, "n", "total")
 
